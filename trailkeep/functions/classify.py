@@ -74,13 +74,11 @@ def infer_status(text: Column) -> Column:
     )
 
 
-def is_relevant(title: Column, body: Column, topic: tuple[str | None, str] | None = None,
+def is_relevant(title: Column, body: Column, topic: tuple[str | None, str] = FUNDING_PROGRAMMES[0][1:],
                 actions: Sequence[str] = ACTION_TERMS) -> Column:
     """Whether a page names the topic (short name as a word, or long name) and any action."""
-    _, short, long_name = FUNDING_PROGRAMMES[0]
-    short, long_name = topic or (short, long_name)
     lower = F.lower(F.concat_ws(" ", title, body))
-    return mentions_any(lower, actions) & lower.rlike(_programme_pattern(short, long_name))
+    return mentions_any(lower, actions) & lower.rlike(_programme_pattern(*topic))
 
 
 def is_record_unit(paragraph: Column, actions: Sequence[str] = ACTION_TERMS,

@@ -57,8 +57,7 @@ MAX_DESCRIPTION = 600
 
 def _first_capture(col: Column, patterns: Sequence[str]) -> Column:
     """Capture 1 of the first pattern that matches, even if that capture is blank; null if none does."""
-    found = [F.regexp_substr(col, F.lit(p)) for p in patterns]
-    return F.coalesce(*(F.regexp_extract(hit, p, 1) for hit, p in zip(found, patterns)))
+    return F.coalesce(*(F.get(F.regexp_extract_all(col, F.lit(p), F.lit(1)), F.lit(0)) for p in patterns))
 
 
 def extract_title(html: Column, site_name: str | None = None) -> Column:
@@ -101,7 +100,7 @@ def extract_article(html: Column) -> Column:
 def paragraph_texts(article: Column) -> Column:
     """Readable paragraphs in page order, as an array."""
     pieces = F.regexp_extract_all(article, F.lit(PARAGRAPH), F.lit(1))
-    return F.filter(F.transform(pieces, strip_html), lambda p: F.length(p) >= MIN_PARAGRAPH)
+    return F.filter(F.transform(pieces, lambda p: strip_html(p)), lambda p: F.length(p) >= MIN_PARAGRAPH)
 
 
 def extract_amount(text: Column, strict: bool = False) -> Column:
@@ -210,31 +209,21 @@ def _remove_dots(segments: Column) -> Column:
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute form of a link found on the page ``base`` (http and https pages)."""
-    def part(url: Column, group: int) -> Column:
-        return F.regexp_extract(url, _PARTS, group)
-
-    scheme, base_scheme = F.lower(part(href, 1)), F.lower(part(base, 1))
-    host, path = part(href, 2), part(href, 3)
-    query = F.when(part(href, 4) != "", F.concat(F.lit("?"), part(href, 4))).otherwise("")
-    base_path = part(base, 3)
-    base_query = F.when(part(base, 4) != "", F.concat(F.lit("?"), part(base, 4))).otherwise("")
-    root = F.concat(base_scheme, F.lit("://"), part(base, 2))
-
-    folder = F.split(F.regexp_replace(base_path, r"[^/]+\z", ""), "/", -1)
-    folder = F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(1)))
-    own = F.split(path, "/", -1)
-    joined = F.when(F.startswith(path, F.lit("/")), own).otherwise(F.concat(folder, own))
-    inner = F.filter(F.slice(joined, 2, F.greatest(F.size(joined) - 2, F.lit(0))), lambda s: s != "")
-    tidy = F.when(F.size(joined) < 2, joined).otherwise(
-        F.concat(F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))
-    )
-    dotted = path.rlike(r"(?:\A|/)\.\.?(?:/|\z)") | base_path.rlike(r"/\.\.?(?:/|\z)")
-    merged = F.array_join(F.when(dotted, _remove_dots(tidy)).otherwise(tidy), "/")
-    rooted = F.when(F.startswith(merged, F.lit("/")), merged).otherwise(F.concat(F.lit("/"), merged))
+    """Absolute form of a link (without fragment) found on the http or https page ``base``."""
+    scheme = F.lower(F.regexp_extract(base, r"^([^:/?#]+):", 1))
+    own_scheme = F.lower(F.regexp_extract(href, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1))
+    rest = F.when(own_scheme == "", href).otherwise(F.regexp_replace(href, r"^[^:]+:", ""))
+    root = F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0)
+    folder = F.coalesce(blank_to_null(F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*(/[^?#]*/|/)", 1)), F.lit("/"))
+    path = F.regexp_extract(rest, r"^[^?]*", 0)
+    relative = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
+    placed = F.when(F.startswith(path, F.lit("/")), path).otherwise(relative)
+    tidy = F.when(placed.rlike(r"/\.\.?(?:/|\z)"), F.array_join(_remove_dots(F.split(placed, "/", -1)), "/")).otherwise(placed)
+    rooted = F.regexp_replace(F.concat(F.lit("/"), tidy), r"\A/+", "/")
     return (
-        F.when((scheme != "") & (scheme != base_scheme), href)
-        .when(host != "", F.concat(base_scheme, F.lit("://"), host, path, query))
-        .when(path == "", F.concat(root, base_path, F.when(query != "", query).otherwise(base_query)))
-        .otherwise(F.concat(root, rooted, query))
+        F.when((own_scheme != "") & (own_scheme != scheme), href)
+        .when(F.startswith(rest, F.lit("//")), F.concat(scheme, F.lit(":"), rest))
+        .when(rest == "", F.regexp_extract(base, r"^[^#]*", 0))
+        .when(path == "", F.concat(F.regexp_extract(base, r"^[^?#]*", 0), rest))
+        .otherwise(F.concat(root, rooted, F.regexp_extract(rest, r"\?.*", 0)))
     )

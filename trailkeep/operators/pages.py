@@ -5,7 +5,7 @@ All of it is per page: projections and generators without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,23 @@ from trailkeep.functions.values import parse_grouped_int
 from trailkeep.rules import CONTACT_COLUMNS, CONTACT_MENU, PROFILE_COLUMNS, PROJECT_COLUMNS, FactTemplate, SiteRules
 
 
+def filter_once(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter on computed columns that the optimizer does not push through their computation.
+
+    A pushed filter would carry the whole extraction in its condition and every page would be parsed
+    twice. Generators are not crossed, so the condition becomes the input of one.
+    """
+    kept = df.select("*", F.explode_outer(F.when(condition, F.array(F.lit(True)))).alias("__kept"))
+    return kept.filter(F.col("__kept").isNotNull()).drop("__kept")
+
+
+def _numbered(df: DataFrame, columns: Sequence[str | Column], array: str, pos: str, item: str) -> DataFrame:
+    """One row per entry of an array column. The plain generator would add a size filter on the array,
+    which the optimizer pushes through its computation."""
+    rows = df.select(*columns, F.posexplode_outer(array).alias(pos, item))
+    return rows.filter(F.col(pos).isNotNull())
+
+
 def with_paragraphs(pages: DataFrame, html: str = "html", out: str = "paragraphs") -> DataFrame:
     """Readable paragraphs of the main article as an array; the whole article if it has none."""
     found = pages.withColumn("__article", X.extract_article(F.col(html)))
@@ -32,7 +49,7 @@ def with_paragraphs(pages: DataFrame, html: str = "html", out: str = "paragraphs
 
 def paragraphs(pages: DataFrame, key: str = "url", html: str = "html") -> DataFrame:
     """(key, pos, paragraph) in page order, positions from 0."""
-    return with_paragraphs(pages.select(key, html), html).select(key, F.posexplode("paragraphs").alias("pos", "paragraph"))
+    return _numbered(with_paragraphs(pages.select(key, html), html), [key], "paragraphs", "pos", "paragraph")
 
 
 def with_body(pages: DataFrame, site_name: str | None = None, html: str = "html") -> DataFrame:
@@ -51,36 +68,26 @@ def pages_to_posts(pages: DataFrame, site_name: str | None = None) -> DataFrame:
     return with_body(pages.select("url", "html"), site_name).select("title", "date", "body_text", "url")
 
 
-def record_units(bodies: DataFrame, rules: SiteRules | None = None) -> DataFrame:
+def record_units(bodies: DataFrame, rules: SiteRules | None = None, relevant: Column | None = None) -> DataFrame:
     """One row per record-like paragraph: the columns of ``bodies`` plus unit_no, unit, multiple.
 
     Needs ``paragraphs``, ``body_text`` and ``title``. Repeated paragraphs of a page count once; a
-    page without any record-like paragraph is one unit: its text, or its title.
+    page without any record-like paragraph is one unit: its text, or its title. Pages that are not
+    ``relevant`` give no units.
     """
-    if rules is None:
-        kept = F.filter("paragraphs", lambda p: C.is_record_unit(p))
-    else:
-        kept = F.filter("paragraphs", lambda p: C.is_record_unit(
-            p, rules.action_terms, rules.sector_terms, rules.boilerplate))
-    chosen = bodies.withColumn("__units", F.array_distinct(kept))
+    rules = rules or SiteRules("")
+    kept = F.filter("paragraphs", lambda p: C.is_record_unit(p, rules.action_terms, rules.sector_terms, rules.boilerplate))
+    chosen = bodies.withColumn("__units", F.array_distinct(kept) if relevant is None else F.when(relevant, F.array_distinct(kept)))
     fallback = F.array(F.coalesce(blank_to_null(F.col("body_text")), F.col("title")))
-    chosen = chosen.withColumn("__units", F.when(F.size("__units") > 0, F.col("__units")).otherwise(fallback))
-    return chosen.select(
-        *[c for c in bodies.columns if c != "paragraphs"],
-        (F.size("__units") > 1).alias("multiple"),
-        F.posexplode("__units").alias("unit_no", "unit"),
-    )
-
-
-def relevant_bodies(pages: DataFrame, rules: SiteRules) -> DataFrame:
-    """Pages about the topic, before anything is split or classified."""
-    bodies = with_body(pages, rules.site_name)
-    return bodies.filter(C.is_relevant(F.col("title"), F.col("body_text"), actions=rules.action_terms))
+    chosen = chosen.withColumn("__units", F.when(F.size("__units") == 0, fallback).otherwise(F.col("__units")))
+    columns = [c for c in bodies.columns if c != "paragraphs"]
+    return _numbered(chosen, [*columns, (F.size("__units") > 1).alias("multiple")], "__units", "unit_no", "unit")
 
 
 def pages_to_records(pages: DataFrame, rules: SiteRules) -> DataFrame:
     """Candidate project records, without ids. Sector, amount and status come from the unit alone."""
-    units = record_units(relevant_bodies(pages.select("url", "html"), rules), rules)
+    about = C.is_relevant(F.col("title"), F.col("body_text"), rules.topic, rules.action_terms)
+    units = record_units(with_body(pages.select("url", "html"), rules.site_name), rules, about)
     unit, title = F.col("unit"), F.col("title")
     evidence = clean_space(F.concat(title, F.lit(". "), unit))
     place = F.coalesce(C.classify_regex(unit, rules.places), C.classify_regex(evidence, rules.places))
@@ -110,29 +117,41 @@ def extract_links(pages: DataFrame, base_url: str | None = None, slug_words: Seq
     occurrence per page; ``record_like`` keeps those that look like records.
     """
     blocks = F.regexp_extract_all(F.col(html), F.lit(X.ARTICLE_BLOCK), F.lit(0))
-    area = pages.select("url", F.when(F.size(blocks) > 0, F.array_join(blocks, "\n")).otherwise(F.col(html)).alias("__area"))
+    area = F.when(F.size(blocks) > 0, F.array_join(blocks, "\n")).otherwise(F.col(html))
     hrefs = F.array_distinct(F.regexp_extract_all("__area", F.lit(X.LINK), F.lit(1)))
-    links = area.select("url", F.posexplode(hrefs).alias("pos", "__href"))
-    links = links.select("url", "pos", X.resolve_url(F.col("url"), html_unescape(F.col("__href"))).alias("target"))
     site = F.lit(base_url) if base_url else F.col("url")
-    kept = links.filter(X.same_site(F.col("target"), site))
-    if record_like:
-        kept = kept.filter(C.looks_like_record_url(F.col("target"), slug_words))
-    return kept.groupBy("url", "target").agg(F.min("pos").alias("pos")).select("url", "pos", "target")
+
+    def kept(target: Column) -> Column:
+        on_site = X.same_site(target, site)
+        return on_site & C.looks_like_record_url(target, slug_words) if record_like else on_site
+
+    # Resolved and filtered inside the array: each link once, nothing shuffled.
+    areas = pages.select("url", area.alias("__area"))
+    return _per_page(areas, F.transform(hrefs, html_unescape), lambda h: X.resolve_url(F.col("url"), h), kept)
 
 
 def contact_links(pages: DataFrame, menu: Sequence[str] = CONTACT_MENU, html: str = "html") -> DataFrame:
     """(url, pos, target): links whose label or address names a contact page, same site only."""
     tags = F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(X.LABELLED_LINK), F.lit(0)))
-    links = pages.select("url", F.posexplode(tags).alias("pos", "__tag"))
-    href = F.regexp_extract("__tag", X.LABELLED_LINK, 1)
-    label = strip_html(F.regexp_extract("__tag", X.LINK_LABEL, 1), "contact")
-    kept = links.filter(C.mentions_any(F.lower(label), menu) | C.mentions_any(F.lower(href), menu))
-    kept = kept.select("url", "pos", F.concat(
-        X.resolve_url(F.col("url"), F.regexp_replace(href, "#.*", "")), F.regexp_extract(href, "#.*", 0)
-    ).alias("target"))
-    kept = kept.filter(X.same_site(F.col("target"), F.col("url")))
-    return kept.groupBy("url", "target").agg(F.min("pos").alias("pos")).select("url", "pos", "target")
+
+    def named(tag: Column) -> Column:
+        label = F.lower(strip_html(F.regexp_extract(tag, X.LINK_LABEL, 1), "contact"))
+        return C.mentions_any(label, menu) | C.mentions_any(F.lower(F.regexp_extract(tag, X.LABELLED_LINK, 1)), menu)
+
+    def target(tag: Column) -> Column:
+        href = F.regexp_extract(tag, X.LABELLED_LINK, 1)
+        return F.concat(X.resolve_url(F.col("url"), F.regexp_replace(href, "#.*", "")), F.regexp_extract(href, "#.*", 0))
+
+    return _per_page(pages, F.filter(tags, named), target, lambda t: X.same_site(t, F.col("url")))
+
+
+def _per_page(pages: DataFrame, found: Column, target: Callable[[Column], Column],
+              kept: Callable[[Column], Column]) -> DataFrame:
+    """(url, pos, target): targets of the found items, distinct and in order within their page."""
+    listed = pages.select("url", found.alias("__found"))
+    listed = listed.select("url", F.transform("__found", lambda x: target(x)).alias("__targets"))
+    listed = listed.select("url", F.array_distinct(F.filter("__targets", lambda x: kept(x))).alias("__targets"))
+    return _numbered(listed, ["url"], "__targets", "pos", "target")
 
 
 # --- contacts ---------------------------------------------------------------------------------
@@ -141,9 +160,8 @@ def contact_links(pages: DataFrame, menu: Sequence[str] = CONTACT_MENU, html: st
 def extract_contacts(texts: DataFrame, text: str = "text", page: str = "source_page",
                      url: str = "source_url", keep: Sequence[str] = ()) -> DataFrame:
     """Contact records: one per text that holds an e-mail address or a phone number."""
-    found = texts.withColumns({
-        "__emails": X.extract_emails(F.col(text)), "__phones": X.extract_phones(F.col(text)),
-    }).filter((F.size("__emails") > 0) | (F.size("__phones") > 0))
+    found = texts.withColumns({"__emails": X.extract_emails(F.col(text)), "__phones": X.extract_phones(F.col(text))})
+    found = filter_once(found, (F.size("__emails") > 0) | (F.size("__phones") > 0))
     blank = F.lit(None).cast("string")
     return found.select(
         blank.alias("record_id"), blank.alias("name"), blank.alias("role_title"), blank.alias("department"),
@@ -209,14 +227,13 @@ def extract_facts(pages: DataFrame, templates: Sequence[FactTemplate], unit: str
             F.lit(i).alias("template"), *[cell(t, c).alias(c) for c in counts], note(t).alias("note")
         )) for i, t in enumerate(templates)
     ])
-    hit_pages = pages.select("url", text, *keep, F.filter(hits, lambda h: h.isNotNull()).alias("__hits")).filter(F.size("__hits") > 0)
-    shared = hit_pages.select(
+    hit_pages = pages.select("url", text, *keep, F.filter(hits, lambda h: h.isNotNull()).alias("__hits"))
+    shared = _numbered(hit_pages, [
         "url", *keep, F.size("__hits").alias("__count"),
         extract_area(F.col(text)).alias("area_km2"),
         extract_province(F.col(text), country).alias("province"),
         extract_neighbours(F.col(text), neighbours).alias("neighboring_districts"),
-        F.posexplode("__hits").alias("__pos", "__hit"),
-    )
+    ], "__hits", "__pos", "__hit")
     last = F.col("__pos") == F.col("__count") - 1
     extra = F.when(last, F.lit(last_note or "")).otherwise("")
     return shared.select(
@@ -231,6 +248,6 @@ def extract_facts(pages: DataFrame, templates: Sequence[FactTemplate], unit: str
 def emit_if_mentioned(pages: DataFrame, term: str, constants: dict[str, str], schema: T.StructType,
                       text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
     """A constant reference row for each page that names the unit; measures stay missing."""
-    named = pages.filter(F.contains(F.col(text), F.lit(term)))
+    named = filter_once(pages, F.contains(F.col(text), F.lit(term)))
     cells = {**{k: F.lit(v) for k, v in constants.items()}, "source_url": F.col("url"), **{k: F.col(k) for k in keep}}
     return named.select(*[cells.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])

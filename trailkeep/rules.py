@@ -179,6 +179,7 @@ class SiteRules:
 
     base_url: str
     site_name: str | None = None
+    topic: tuple[str | None, str] = FUNDING_PROGRAMMES[0][1:]
     places: Sequence[tuple[str, str]] = ()
     slug_words: Sequence[str] = SLUG_WORDS
     action_terms: Sequence[str] = ACTION_TERMS
