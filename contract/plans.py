@@ -12,9 +12,9 @@ from contract.extraction import (
     FACT_ARGS, FACTS_SQL, SQL_PHONE, SQL_SENTENCES, fact_pages, sql_clean_punct, sql_clean_text,
 )
 from contract.profiles import COPIED_EVENTS, copied_events, sql_summary
-from trailkeep.operators.pages import pages_to_records
+from trailkeep.operators.pages import extract_facts, pages_to_records
 from trailkeep.plans import clean as L
-from trailkeep.plans.collect import build_reviewed, collect_contacts, collect_profile, collect_records
+from trailkeep.plans.collect import admit_pages, build_reviewed, collect_contacts, collect_profile, collect_records
 from trailkeep.plans.summary import master_summary
 from trailkeep.rules import (
     ACTION_TERMS, BOILERPLATE_PHRASES, CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, SECTOR_TERMS,
@@ -110,7 +110,7 @@ def collected_records(spark, sf):
     FROM pages WHERE NOT regexp_matches(url, '^https?://(www[.])?blog[.]tionsh[.]example[.]net([/?#]|$)') OR contains(url, '/es/')""")
 def rejected_pages(spark, sf):
     pages = table(spark, sf, "pages").withColumn("html", F.when(~F.contains("url", F.lit("/es/")), F.col("html")))
-    return collect_records(pages, RULES).rejects
+    return admit_pages(pages, RULES)[1]
 
 
 # --- cleaning -------------------------------------------------------------------------------------
@@ -201,7 +201,6 @@ def contacts_strict(spark, sf):
 
 def profile_table(spark, sf):
     pages = fact_pages(spark, sf)
-    from trailkeep.operators.pages import extract_facts
     facts = extract_facts(pages, census_templates("Lenda"), **FACT_ARGS)
     key = F.regexp_extract("source_url", "[0-9]+$", 0)
     facts = facts.withColumns({"name": F.concat("name", F.lit(" "), key), "record_id": F.concat(F.lit("P-"), key, F.lit("-"), "template")})
@@ -267,7 +266,7 @@ def contacts(spark, sf):
         F.col("s_suppkey").alias("page_id"), F.when(F.col("s_nationkey") < 5, F.concat(F.lit("KEEP-"), "s_suppkey")).alias("record_id"),
         F.col("s_name").alias("name"), F.concat(F.lit("0977"), "s_nationkey").alias("phone"),
         F.concat(F.lit("https://s.example.org/"), "s_nationkey").alias("source_url"))
-    found = collect_contacts(pages, manual, site_name="Page Town Site".split(" ", 1)[1])
+    found = collect_contacts(pages, manual, site_name="Town Site")
     return found.select("record_id", "name", "phone", "email", "source_page", "source_url")
 
 

@@ -57,9 +57,9 @@ def ordered_texts(spark, sf):
 
 
 @query("d6_duplicate_counts", """
-    SELECT 'text' AS key_set, count(*) - count(DISTINCT text) AS surplus FROM documents
-    UNION ALL SELECT 'text and source', count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, source FROM documents)) FROM documents
-    UNION ALL SELECT 'source', count(*) - count(DISTINCT source) FROM documents""")
+    SELECT 'text' AS key_set, count(*) AS rows, count(*) - count(DISTINCT text) AS surplus FROM documents
+    UNION ALL SELECT 'text and source', count(*), count(*) - (SELECT count(*) FROM (SELECT DISTINCT text, source FROM documents)) FROM documents
+    UNION ALL SELECT 'source', count(*), count(*) - count(DISTINCT source) FROM documents""")
 def surplus_documents(spark, sf):
     return D.duplicate_counts(table(spark, sf, "documents"), {
         "text": ["text"], "text and source": ["text", "source"], "source": ["source"]})

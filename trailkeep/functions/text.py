@@ -83,15 +83,18 @@ def _code_point(code: Column) -> Column:
     remapped = F.str_to_map(
         F.lit(_ENTRY.join(f"{k}{_PAIR}{v}" for k, v in remap.items())), F.lit(_ENTRY), F.lit(_PAIR)
     )
+    def within(low: int, high: int) -> Column:
+        return (code >= low) & (code <= high)
+
     noncharacter = (
-        code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F)
-        | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+        within(0x1, 0x8) | (code == 0xB) | within(0xE, 0x1F) | (code == 0x7F)
+        | within(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
     )
     character = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     return (
-        F.when((code == 0) | (code == 13) | code.between(0x80, 0x9F),
+        F.when((code == 0) | (code == 13) | within(0x80, 0x9F),
                F.element_at(remapped, code.cast("string")))
-        .when(code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+        .when(within(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
         .when(noncharacter, F.lit(""))
         .otherwise(character)
     )

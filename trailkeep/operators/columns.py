@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,15 +49,19 @@ def normalize_text(df: DataFrame, url_suffix: str = "url", blank: bool = False,
 
     ``blank`` is the variant that keeps blanks as ``''`` and treats URLs like any text.
     """
-    cells = {}
-    for c in (c for c in text_columns(df) if c not in keep):
-        if blank:
-            cells[c] = F.coalesce(collapse_space(html_unescape(F.col(c))), F.lit(""))
-        elif c.endswith(url_suffix):
-            cells[c] = blank_to_null(strip(F.col(c)))
-        else:
-            cells[c] = V.normalize_text(F.col(c))
-    return df.withColumns(cells)
+    names = [c for c in text_columns(df) if c not in keep]
+    urls = [c for c in names if c.endswith(url_suffix) and not blank]
+    texts = [c for c in names if c not in urls]
+    fixed = df.withColumns({c: blank_to_null(strip(F.col(c))) for c in urls})
+    if not texts:
+        return fixed
+
+    def cell(value: Column) -> Column:
+        return F.coalesce(collapse_space(html_unescape(value)), F.lit("")) if blank else V.normalize_text(value)
+
+    # One expression for all text cells of a row: the plan stays small however many columns there are.
+    fixed = fixed.withColumn("__cells", F.transform(F.array(*texts), lambda value: cell(value)))
+    return fixed.withColumns({c: F.col("__cells")[i] for i, c in enumerate(texts)}).drop("__cells")
 
 
 def nulls_to_blank(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

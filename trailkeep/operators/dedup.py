@@ -72,12 +72,13 @@ def keep_flagged(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def duplicate_counts(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Surplus rows per set of keys: (key_set, surplus)."""
+    """Rows and surplus rows per set of keys: (key_set, rows, surplus)."""
     parts = []
     for name, keys in key_sets.items():
         sizes = df.groupBy(*group_keys(df, _names(keys))).agg(F.count(F.lit(1)).alias("__n"))
         parts.append(sizes.agg(
-            F.lit(name).alias("key_set"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("surplus")
+            F.lit(name).alias("key_set"), F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("surplus"),
         ))
     result = parts[0]
     for part in parts[1:]:

@@ -49,13 +49,12 @@ def clean_projects(df: DataFrame) -> Cleaned:
     """Project announcements: exact copies go, same-page variants are reported, casts never lose a value."""
     raw = cols.drop_derived(df, "description_clean")
     content = [c for c in raw.columns if c != "project_id"]
-    repeated = duplicate_counts(raw, {"url": ["source_url"]}).first().surplus
+    by_url = duplicate_counts(raw, {"url": ["source_url"]}).first()
     unique = dedup_except_id(raw, "project_id")
     dated, raw_date = cols.to_date_checked(unique, "date_reported")
     typed, raw_amount = cols.to_number_checked(dated, "funding_amount_zmw")
     judged = cols.standardize_categories(typed, ["sector"]).withColumn("status", V.fill_category(F.col("status")))
     staged = written(judged)
-    before = df.count()
     Q.enforce(Q.validate(staged, [
         Q.no_cast_loss("date is a date", raw_date, "date_reported"),
         Q.no_cast_loss("amount is a number", raw_amount, "funding_amount_zmw"),
@@ -71,7 +70,7 @@ def clean_projects(df: DataFrame) -> Cleaned:
         "project_id", "project_name", "funding_amount_zmw", "source_url"
     )
     clean = table.select(*["project_id", *content]).withColumn("description_clean", clean_text(F.col("description")))
-    details = {**_sizes(before, table.count()), "repeated_url_rows": repeated,
+    details = {**_sizes(by_url.rows, table.count()), "repeated_url_rows": by_url.surplus,
                "near_duplicate_rows": review.count(), "outliers": flagged.count()}
     return Cleaned(clean, details, review, fences, flagged, "project_id", details["outliers"])
 
@@ -79,17 +78,16 @@ def clean_projects(df: DataFrame) -> Cleaned:
 def clean_posts(df: DataFrame) -> Cleaned:
     """Source articles: exact copies go, different contents of one URL are reported."""
     raw = cols.drop_derived(df, "body_text_clean")
-    repeated = duplicate_counts(raw, {"url": ["url"]}).first().surplus
+    by_url = duplicate_counts(raw, {"url": ["url"]}).first()
     dated, raw_date = cols.to_date_checked(raw.distinct(), "date")
     staged = written(dated)
-    before = df.count()
     Q.enforce(Q.validate(staged, [
         Q.no_cast_loss("date is a date", raw_date, "date"), Q.present("source is named", "url"),
     ], "url"))
     table = staged.drop(raw_date)
     review = keep_flagged(table, ["url"])
     clean = table.withColumn("body_text_clean", clean_text(F.col("body_text")))
-    details = {**_sizes(before, table.count()), "repeated_url_rows": repeated,
+    details = {**_sizes(by_url.rows, table.count()), "repeated_url_rows": by_url.surplus,
                "near_duplicate_rows": review.count(), "outliers": None}
     return Cleaned(clean, details, review)
 
@@ -100,11 +98,9 @@ def clean_contacts(df: DataFrame, mode: str = "strict", order: str | Sequence[st
     ``script`` keeps the first row of a URL and removes rows without one; ``strict`` refuses
     different rows of one URL, missing sources and malformed e-mail addresses.
     """
-    before = df.count()
     if mode == "script":
         Q.required_columns(df, CONTACT_COLUMNS)
-        counts = {r.key_set: r.surplus for r in duplicate_counts(
-            df, {"exact": df.columns, "url": ["source_url"]}).collect()}
+        counts = {r.key_set: r for r in duplicate_counts(df, {"exact": df.columns, "url": ["source_url"]}).collect()}
         table = df.select(*CONTACT_COLUMNS)
         tidy = cols.normalize_text(table, blank=True, keep=["record_id"])
         tidy = tidy.withColumns({"phone": V.normalize_phone(F.col("phone")), "email": V.normalize_email(F.col("email"))})
@@ -112,7 +108,9 @@ def clean_contacts(df: DataFrame, mode: str = "strict", order: str | Sequence[st
         clean = cols.drop_untraceable(unique, "source_url")
         first, kept = unique.count(), clean.count()
         blanks = {f"blank {r.column}": r.missing for r in missing_counts(clean, blank=True).collect()}
-        details = {"input_rows": before, "exact_duplicates": counts["exact"], "duplicate_sources": counts["url"],
+        before = counts["exact"].rows
+        details = {"input_rows": before, "exact_duplicates": counts["exact"].surplus,
+                   "duplicate_sources": counts["url"].surplus,
                    "removed_for_duplicate_url": before - first, "removed_for_missing_url": first - kept,
                    "output_rows": kept, **blanks}
         return Cleaned(clean, details, id_col="record_id")
@@ -128,7 +126,7 @@ def clean_contacts(df: DataFrame, mode: str = "strict", order: str | Sequence[st
         Q.present("id is present", "record_id"), Q.unique("id is unique", "record_id"),
     ], "record_id"))
     Q.same_columns(clean, df.columns)
-    return Cleaned(clean, _sizes(before, clean.count()), id_col="record_id")
+    return Cleaned(clean, _sizes(tidy.count(), clean.count()), id_col="record_id")
 
 
 def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str] = (*STOPWORDS, "not")) -> Cleaned:

@@ -43,18 +43,24 @@ def finalize_records(candidates: DataFrame, id_format: str) -> DataFrame:
     return assign_ids(unique.drop("unit_no"), order, id_format, "project_id").select(*PROJECT_COLUMNS)
 
 
+def admit_pages(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(usable pages, rejects): pages outside the site or without content go aside with the reason."""
+    checks = [RowRule("no page content", F.coalesce(F.trim("html"), F.lit("")) == "")]
+    if limit_to_site:
+        on_site = F.coalesce(same_site(F.col("url"), F.lit(rules.base_url)), F.lit(False))
+        checks.insert(0, RowRule("outside the site", ~on_site))
+    good, rejects = quarantine(pages.select("url", "html"), checks)
+    return good, rejects.select(F.col("url").alias("source_url"), "error")
+
+
 def collect_records(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True) -> Collection:
     """Project records, the evidence table, and the pages that could not be used with the reason.
 
     ``pages`` holds one row per (url, html).
     """
-    checks = [RowRule("no page content", F.coalesce(F.trim("html"), F.lit("")) == "")]
-    if limit_to_site:
-        checks.insert(0, RowRule("outside the site", ~F.coalesce(same_site(F.col("url"), F.lit(rules.base_url)), F.lit(False))))
-    good, rejects = quarantine(pages.select("url", "html"), checks)
+    good, rejects = admit_pages(pages, rules, limit_to_site)
     records = finalize_records(P.pages_to_records(good, rules), f"{rules.id_prefix}%03d")
-    posts = P.pages_to_posts(good, rules.site_name)
-    return Collection(records, posts, rejects.select(F.col("url").alias("source_url"), "error"))
+    return Collection(records, P.pages_to_posts(good, rules.site_name), rejects)
 
 
 def build_reviewed(decisions: DataFrame, posts: DataFrame, id_prefix: str = "REC-",
