@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trailkeep.functions.extract import query_id, url_path
-from trailkeep.functions.text import SPACE, WORD_END, WORD_START
+from trailkeep.functions.text import SPACE, WORD_END, WORD_START, let
 from trailkeep.rules import (
     ACTION_TERMS, BOILERPLATE_PHRASES, EXCLUDED_PATHS, FUNDING_PROGRAMMES, SECTOR_TERMS, SLUG_WORDS,
     STATUS_DENIED, STATUS_DONE, STATUS_NEAR, STATUS_PLANNED, STATUS_RUNNING, shortest_terms,
@@ -21,12 +21,17 @@ def mentions_any(text: Column, terms: Iterable[str], word: bool = False) -> Colu
     """Whether a lower-case text holds any term, as a substring or (``word``) as whole words."""
     terms = list(terms)
     if word:
-        return text.rlike(f"{WORD_START}(?:{'|'.join(map(re.escape, terms))}){WORD_END}")
+        return text.rlike(_phrase(map(re.escape, terms)))
     return reduce(Column.__or__, (F.contains(text, F.lit(t)) for t in shortest_terms(terms)))
 
 
 def _phrase(alternatives: Iterable[str]) -> str:
-    return f"{WORD_START}(?:{'|'.join(alternatives)}){WORD_END}"
+    """Any of the patterns as whole words."""
+    alternatives = list(alternatives)
+    first = {a[0] for a in alternatives}
+    # The first letters are looked at before the more expensive word boundary.
+    lead = f"(?=[{''.join(sorted(first))}])" if all(c.isalnum() for c in first) else ""
+    return f"{lead}{WORD_START}(?:{'|'.join(alternatives)}){WORD_END}"
 
 
 def _first_of(rules: Iterable[tuple[Column, str]], default: str | None) -> Column:
@@ -41,8 +46,9 @@ def _first_of(rules: Iterable[tuple[Column, str]], default: str | None) -> Colum
 def classify_keywords(text: Column, rules: Mapping[str, Sequence[str]] = SECTOR_TERMS,
                       default: str | None = "other", word: bool = False) -> Column:
     """First category, in declared order, with any of its keywords in the text."""
-    lower = F.lower(text)
-    return _first_of(((mentions_any(lower, terms, word), name) for name, terms in rules.items()), default)
+    return let(F.lower(text), lambda lower: _first_of(
+        ((mentions_any(lower, terms, word), name) for name, terms in rules.items()), default
+    ))
 
 
 def classify_regex(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -52,45 +58,50 @@ def classify_regex(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return _first_of(((text.rlike("(?iu)" + _phrase([p])), label) for label, p in rules), None)
 
 
-def _programme_pattern(short: str | None, long_name: str) -> str:
-    return "(?iu)" + (f"{_phrase([short])}|{long_name}" if short else long_name)
+def _names_programme(lower: Column, short: str | None, long_name: str) -> Column:
+    """Whether a lower-case text names a programme; the word test runs only where the letters occur."""
+    named = F.contains(lower, F.lit(long_name))
+    return named if short is None else named | (F.contains(lower, F.lit(short)) & lower.rlike(_phrase([re.escape(short)])))
 
 
 def classify_funding(text: Column) -> Column:
     """The funding programme a text states; null if none."""
-    return _first_of(((text.rlike(_programme_pattern(s, n)), label) for label, s, n in FUNDING_PROGRAMMES), None)
+    return let(F.lower(text), lambda lower: _first_of(
+        ((_names_programme(lower, short, name), label) for label, short, name in FUNDING_PROGRAMMES), None
+    ))
 
 
 def infer_status(text: Column) -> Column:
     """Status category of a text. A denied or future completion leaves it unstated (null)."""
-    lower = F.lower(text)
     denied = f"{WORD_START}(?:{'|'.join(STATUS_DENIED)}){SPACE}+(?:{'|'.join(STATUS_DONE)}){WORD_END}"
-    return (
-        F.when(lower.rlike(denied), F.lit(None).cast("string"))
-        .when(lower.rlike(_phrase(STATUS_DONE)), "completed")
-        .when(lower.rlike(STATUS_NEAR), "near_completion")
-        .when(lower.rlike(_phrase(STATUS_RUNNING)), "ongoing")
-        .when(lower.rlike(_phrase(STATUS_PLANNED)), "planned")
-    )
+
+    def status(lower: Column) -> Column:
+        return (
+            F.when(mentions_any(lower, STATUS_DONE) & lower.rlike(denied), F.lit(None).cast("string"))
+            .when(mentions_any(lower, STATUS_DONE) & lower.rlike(_phrase(STATUS_DONE)), "completed")
+            .when(lower.rlike(STATUS_NEAR), "near_completion")
+            .when(mentions_any(lower, STATUS_RUNNING) & lower.rlike(_phrase(STATUS_RUNNING)), "ongoing")
+            .when(lower.rlike(_phrase(STATUS_PLANNED)), "planned")
+        )
+
+    return let(F.lower(text), status)
 
 
 def is_relevant(title: Column, body: Column, topic: tuple[str | None, str] = FUNDING_PROGRAMMES[0][1:],
                 actions: Sequence[str] = ACTION_TERMS) -> Column:
     """Whether a page names the topic (short name as a word, or long name) and any action."""
-    lower = F.lower(F.concat_ws(" ", title, body))
-    return mentions_any(lower, actions) & lower.rlike(_programme_pattern(*topic))
+    return let(F.lower(F.concat_ws(" ", title, body)),
+               lambda lower: _names_programme(lower, *topic) & mentions_any(lower, actions))
 
 
 def is_record_unit(paragraph: Column, actions: Sequence[str] = ACTION_TERMS,
                    subjects: Mapping[str, Sequence[str]] = SECTOR_TERMS,
                    boilerplate: Sequence[str] = BOILERPLATE_PHRASES) -> Column:
     """Whether a paragraph reports an action on a subject and is no boilerplate."""
-    lower = F.lower(paragraph)
-    return (
-        mentions_any(lower, actions)
-        & mentions_any(lower, [t for terms in subjects.values() for t in terms])
-        & ~mentions_any(lower, boilerplate)
-    )
+    terms = [t for group in subjects.values() for t in group]
+    return let(F.lower(paragraph), lambda lower: (
+        mentions_any(lower, actions) & mentions_any(lower, terms) & ~mentions_any(lower, boilerplate)
+    ))
 
 
 def looks_like_record_url(url: Column, slug_words: Sequence[str] = SLUG_WORDS) -> Column:

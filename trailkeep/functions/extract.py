@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trailkeep.functions.text import SPACE, WORD, WORD_END, WORD_START, blank_to_null, clean_space, strip_html
+from trailkeep.functions.text import SPACE, WORD, WORD_END, WORD_START, blank_to_null, clean_space, let, strip_html
 from trailkeep.rules import AMOUNT_SUFFIXES, NAME_VERBS
 
 # Where a page keeps its title, date, article, paragraphs and links.
@@ -39,7 +39,7 @@ MONTHS = (
     "sept", "oct", "nov", "dec",
 )
 # Contact points and amounts in running text.
-EMAIL = rf"[\p{{L}}\p{{N}}_.+-]+@[\p{{L}}\p{{N}}_.-]+\.[A-Za-z]{{2,}}"
+EMAIL = rf"(?:(?<![\p{{L}}\p{{N}}_.+-])|\G)[\p{{L}}\p{{N}}_.+-]++@[\p{{L}}\p{{N}}_.-]+\.[A-Za-z]{{2,}}"
 PHONE = rf"(?:\+?260(?:{SPACE}|-)?)?0\p{{Nd}}{{2}}(?:{SPACE}|-)?\p{{Nd}}{{3}}(?:{SPACE}|-)?\p{{Nd}}{{3,4}}"
 ADDRESS = (
     r"(?i)(?:physical address|postal address|address)\s*[:\-]?\s*(.{10,180}?)"
@@ -82,14 +82,17 @@ def to_date(text: Column, pattern: str = "yyyy-MM-dd") -> Column:
 
 def extract_date(html: Column) -> Column:
     """Publication date from the markup, else from "published on Month D, YYYY"; null if none is valid."""
-    stated = _first_capture(html, DATE_PATTERNS)
-    phrase = F.regexp_substr(strip_html(html), F.lit(DATE_TEXT))
-    month = F.lower(F.regexp_extract(phrase, DATE_TEXT, 1))
-    day = F.concat_ws(" ", F.left(month, F.lit(3)), F.regexp_extract(phrase, DATE_TEXT, 2),
-                      F.regexp_extract(phrase, DATE_TEXT, 3))
-    return F.when(stated.isNotNull(), to_date(stated)).when(
-        F.contains(F.lower(html), F.lit("published")), F.when(month.isin(*MONTHS), to_date(day, "MMM d yyyy"))
-    )
+    def spoken(phrase: Column) -> Column:
+        month = F.lower(F.regexp_extract(phrase, DATE_TEXT, 1))
+        day = F.concat_ws(" ", F.left(month, F.lit(3)), F.regexp_extract(phrase, DATE_TEXT, 2),
+                          F.regexp_extract(phrase, DATE_TEXT, 3))
+        return F.when(month.isin(*MONTHS), to_date(day, "MMM d yyyy"))
+
+    def dated(stated: Column) -> Column:
+        in_text = let(F.regexp_extract(strip_html(html), DATE_TEXT, 0), spoken)
+        return F.when(stated.isNotNull(), to_date(stated)).when(html.rlike("(?i)published"), in_text)
+
+    return let(_first_capture(html, DATE_PATTERNS), dated)
 
 
 def extract_article(html: Column) -> Column:
@@ -144,13 +147,15 @@ def make_description(text: Column) -> Column:
 
 def extract_emails(text: Column) -> Column:
     """Distinct e-mail addresses in order of appearance."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(0)))
+    return F.when(F.contains(text, F.lit("@")), found).otherwise(F.array().cast("array<string>"))
 
 
 def extract_phones(text: Column) -> Column:
     """Distinct phone numbers in order of appearance, white space collapsed, digits untouched."""
     runs = F.regexp_extract_all(text, F.lit(PHONE), F.lit(0))
-    return F.array_distinct(F.transform(runs, lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " "))))
+    found = F.array_distinct(F.transform(runs, lambda x: F.trim(F.regexp_replace(x, f"{SPACE}+", " "))))
+    return F.when(F.contains(text, F.lit("0")), found).otherwise(F.array().cast("array<string>"))
 
 
 def extract_address(text: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -46,6 +46,11 @@ def clean_space(col: Column) -> Column:
     return _collapse(col, "|", "/")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def blank_to_null(col: Column) -> Column:
     return F.when(col != "", col)
 
@@ -175,7 +180,8 @@ def clean_text(col: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
 
 def clean_text_punct(col: Column, stopwords: Sequence[str]) -> Column:
     """Variant that deletes tags and ASCII punctuation (``2.9%`` becomes ``29``) and splits at white space."""
-    bare = F.translate(F.lower(F.regexp_replace(col, _TAG, "")), ASCII_PUNCTUATION, "")
-    tokens = F.split(bare, f"{SPACE}+", -1)
+    # Rare spaces become blanks and punctuation goes, in one character map.
+    bare = F.translate(F.lower(F.regexp_replace(col, _TAG, "")), _RARE_SPACE + ASCII_PUNCTUATION, " " * len(_RARE_SPACE))
+    tokens = F.split(bare, " ", -1)
     kept = F.filter(tokens, lambda token: (token != "") & ~token.isin(*stopwords))
     return F.coalesce(F.array_join(kept, " "), F.lit(""))

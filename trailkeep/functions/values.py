@@ -6,11 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trailkeep.functions.extract import to_date
-from trailkeep.functions.text import SPACE, blank_to_null, collapse_space, html_unescape, strip
+from trailkeep.functions.text import SPACE, blank_to_null, collapse_space, html_unescape, let, strip
 from trailkeep.rules import NA_TOKENS
 
 NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 PHONE_RUN = rf"[+]?\p{{Nd}}[\p{{Nd}}{SPACE[1:-1]}().-]{{6,}}\p{{Nd}}"
+ANY_DIGIT = r"[0-9\x{660}-\x{10ffff}]"
 EMAIL_FORM = rf"\A[^{SPACE[1:-1]}@]+@[^{SPACE[1:-1]}@]+\.[^{SPACE[1:-1]}@]+\z"
 
 
@@ -68,9 +69,11 @@ def normalize_text(col: Column) -> Column:
 
 def normalize_phone(col: Column) -> Column:
     """Phone-like runs joined by ``; ``, or the text itself if there is none. Digits stay as published."""
-    text = F.coalesce(collapse_space(html_unescape(col)), F.lit(""))
-    runs = F.transform(F.regexp_extract_all(text, F.lit(PHONE_RUN), F.lit(0)), collapse_space)
-    return F.coalesce(blank_to_null(F.array_join(runs, "; ")), text)
+    def joined(text: Column) -> Column:
+        runs = F.transform(F.regexp_extract_all(text, F.lit(PHONE_RUN), F.lit(0)), lambda run: collapse_space(run))
+        return F.when(text.rlike(ANY_DIGIT), F.coalesce(blank_to_null(F.array_join(runs, "; ")), text)).otherwise(text)
+
+    return let(F.coalesce(collapse_space(html_unescape(col)), F.lit("")), joined)
 
 
 def normalize_email(col: Column) -> Column:
