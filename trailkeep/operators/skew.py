@@ -58,9 +58,10 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
         return left.join(right, match, how).drop(*names)
     # The salt comes from the row's own content, so that a task run twice sends it the same way.
     hot = key_hash([F.col(k) for k in keys]).isin(*heavy)
-    salted = left.withColumn("__salt", F.when(hot, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS))).otherwise(0))
-    copies = F.when(key_hash([F.col(n) for n in names]).isin(*heavy), F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    spread = right.withColumn("__s", F.explode(F.coalesce(copies, F.array(F.lit(0)))).cast("bigint"))
+    salted = left.withColumn("__salt", F.when(hot, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS))).otherwise(F.lit(0)))
+    zero = F.lit(0).cast("bigint")
+    copies = F.when(key_hash([F.col(n) for n in names]).isin(*heavy), F.sequence(zero, F.lit(SALTS - 1).cast("bigint")))
+    spread = right.withColumn("__s", F.explode(F.coalesce(copies, F.array(zero))))
     match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col("__salt") == F.col("__s")]
     return salted.join(spread, match, how).drop(*names, "__salt", "__s")
 

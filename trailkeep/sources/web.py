@@ -21,7 +21,7 @@ def read_pages(spark: SparkSession, path: str, url: str = "url", html: str = "ht
     """(url, html) of a page table in Parquet, or of saved files (``*.html``) named by their path."""
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path).select(F.col(url).alias("url"), F.col(html).alias("html"))
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
 
 
