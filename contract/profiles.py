@@ -106,10 +106,10 @@ def sql_fence(measure: str, relation: str, by: str) -> str:
 
 @query("o1_iqr_fences", f"""
     WITH f AS ({sql_fence('l_extendedprice', 'lineitem', 'l_returnflag')} UNION ALL {sql_fence('l_quantity', 'lineitem', 'l_returnflag')})
-    SELECT l_returnflag, "column", n, round(q1, 4) AS q1, round(q3, 4) AS q3, round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper FROM f""")
+    SELECT l_returnflag, "column", n, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper FROM f""")
 def line_fences(spark, sf):
     fences = O.iqr_fences(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], ["l_returnflag"])
-    return fences.withColumns({c: F.round(c, 4) for c in ("q1", "q3", "lower", "upper")})
+    return fences.withColumns({c: F.round(c, 6) for c in ("q1", "q3", "lower", "upper")})
 
 
 VALUE_FENCE = "f AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)"
@@ -124,10 +124,10 @@ def flagged_events(spark, sf):
 
 
 @query("o3_clip_outliers", f"""
-    WITH {VALUE_FENCE} SELECT event_id, round(least(greatest(value, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 4) AS value FROM events, f""")
+    WITH {VALUE_FENCE} SELECT event_id, round(least(greatest(value, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 6) AS value FROM events, f""")
 def clipped_events(spark, sf):
     clipped = O.clip_outliers(table(spark, sf, "events").select("event_id", "value"), ["value"])
-    return clipped.select("event_id", F.round("value", 4).alias("value"))
+    return clipped.select("event_id", F.round("value", 6).alias("value"))
 
 
 @query("o4_remove_outliers", """

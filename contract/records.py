@@ -110,14 +110,14 @@ def copied_documents(spark, sf):
 @query("j3_apply_fences", """
     WITH f AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3
                FROM lineitem GROUP BY l_returnflag)
-    SELECT l_orderkey, l_linenumber, l_returnflag, round(q1 - 1.5 * (q3 - q1), 4) AS lower, round(q3 + 1.5 * (q3 - q1), 4) AS upper
+    SELECT l_orderkey, l_linenumber, l_returnflag, round(q1 - 1.5 * (q3 - q1), 6) AS lower, round(q3 + 1.5 * (q3 - q1), 6) AS upper
     FROM lineitem JOIN f USING (l_returnflag)""")
 def fenced_lines(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
     fences = iqr_fences(lines, ["l_extendedprice"], ["l_returnflag"])
     fenced = apply_fences(lines, fences, ["l_extendedprice"], ["l_returnflag"])
     return fenced.select("l_orderkey", "l_linenumber", "l_returnflag",
-                         F.round("__lower_l_extendedprice", 4).alias("lower"), F.round("__upper_l_extendedprice", 4).alias("upper"))
+                         F.round("__lower_l_extendedprice", 6).alias("lower"), F.round("__upper_l_extendedprice", 6).alias("upper"))
 
 
 # --- order, ids, sets -----------------------------------------------------------------------------

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailkeep.functions.text import strip
 from trailkeep.functions.values import nan_to_null
 from trailkeep.operators.outliers import exact_quartiles, flag_outliers
 from trailkeep.operators.skew import fingerprint, lookup_join
@@ -23,6 +22,10 @@ def _numeric(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
+def text_like(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BooleanType))]
+
+
 def _per_column(df: DataFrame, metric: dict[str, Column], name: str) -> DataFrame:
     """One aggregation, one output row per column."""
     cells = [F.struct(F.lit(c).alias("column"), m.cast("bigint").alias(name)).alias(f"m{i}")
@@ -30,16 +33,18 @@ def _per_column(df: DataFrame, metric: dict[str, Column], name: str) -> DataFram
     return df.agg(*cells).select(F.inline(F.array(*[f"m{i}" for i in range(len(metric))])))
 
 
+def is_missing(field: T.StructField) -> Column:
+    """Null, or NaN in a floating column."""
+    col = F.col(field.name)
+    return nan_to_null(col).isNull() if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else col.isNull()
+
+
 def missing_counts(df: DataFrame, blank: bool = False, only_gaps: bool = False) -> DataFrame:
-    """(column, missing): nulls (and NaN) per column, or blank cells with ``blank``."""
-    def missing(f: T.StructField) -> Column:
-        if blank:
-            return F.coalesce(F.col(f.name).cast("string"), F.lit("")) == ""
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            return nan_to_null(F.col(f.name)).isNull()
-        return F.col(f.name).isNull()
-
-    counts = _per_column(df, {f.name: F.count_if(missing(f)) for f in df.schema}, "missing")
+    """(column, missing): missing cells per column, or blank cells with ``blank``."""
+    def counted(f: T.StructField) -> Column:
+        return F.coalesce(F.col(f.name).cast("string"), F.lit("")) == "" if blank else is_missing(f)
+
+    counts = _per_column(df, {f.name: F.count_if(counted(f)) for f in df.schema}, "missing")
     return counts.filter("missing > 0") if only_gaps else counts
 
 
@@ -60,7 +65,7 @@ def describe_all(df: DataFrame) -> DataFrame:
     counts of all text columns are one shuffle with map-side combination.
     """
     numeric = _numeric(df)
-    text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BooleanType))]
+    text = text_like(df)
     number = F.lit(None).cast("double")
     parts = []
     if text:
@@ -133,8 +138,3 @@ def summarize(df: DataFrame, numeric_cols: Sequence[str] = (), name: str = "tabl
         F.when(F.col("outliers").isNotNull(), F.col("kept")).alias("rows_clipped"),
         (F.col("kept") - F.col("outliers")).alias("rows_removed_outliers"),
     )
-
-
-def blank_cells(df: DataFrame) -> DataFrame:
-    """``missing_counts`` over trimmed text: a cell of white space is blank too."""
-    return missing_counts(df.select(*[strip(F.col(c).cast("string")).alias(c) for c in df.columns]), blank=True)

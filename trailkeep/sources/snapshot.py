@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailkeep.operators.profile import describe_all, info, missing_counts, shape
+from trailkeep.operators.profile import describe_all, is_missing, text_like
 from trailkeep.sources.storage import is_complete
 
 
@@ -23,24 +23,23 @@ def snapshot_once(df: DataFrame, path: str) -> DataFrame:
 
 
 def _metrics(frame: DataFrame, stage: str, file: str) -> DataFrame:
-    head = [F.lit(file).alias("file"), F.lit(stage).alias("stage")]
-    value = lambda c: F.col(c).cast("string").alias("value")
-    sizes = shape(frame).select(F.expr("stack(2, 'rows', rows, 'columns', cast(columns as bigint)) as (metric, v)"))
-    parts = [
-        sizes.select(*head, "metric", value("v")),
-        missing_counts(frame).select(*head, F.concat(F.lit("missing "), "column").alias("metric"), value("missing")),
-        info(frame).select(*head, F.concat(F.lit("type "), "column").alias("metric"), value("type")),
-    ]
-    if any(f.dataType.typeName() in ("string", "boolean") for f in frame.schema):
-        described = describe_all(frame.select(*[
-            f.name for f in frame.schema if f.dataType.typeName() in ("string", "boolean")
-        ]))
-        for metric in ("unique", "top", "freq"):
-            parts.append(described.select(*head, F.concat(F.lit(f"{metric} "), "column").alias("metric"), value(metric)))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """One aggregation for sizes and missing cells, one shuffle for the values of text columns."""
+    def entry(metric: str, value: Column) -> Column:
+        return F.struct(F.lit(metric).alias("metric"), value.cast("string").alias("value"))
+
+    cells = [entry("rows", F.count(F.lit(1))), entry("columns", F.lit(len(frame.columns)))]
+    for f in frame.schema:
+        cells += [entry(f"missing {f.name}", F.count_if(is_missing(f))), entry(f"type {f.name}", F.lit(f.dataType.simpleString()))]
+    named = [c.alias(f"m{i}") for i, c in enumerate(cells)]
+    report = frame.agg(*named).select(F.inline(F.array(*[f"m{i}" for i in range(len(named))])))
+    text = text_like(frame)
+    if text:
+        labelled = [
+            F.struct(F.concat(F.lit(f"{m} "), "column").alias("metric"), F.col(m).cast("string").alias("value"))
+            for m in ("unique", "top", "freq")
+        ]
+        report = report.unionByName(describe_all(frame.select(*text)).select(F.inline(F.array(*labelled))))
+    return report.select(F.lit(file).alias("file"), F.lit(stage).alias("stage"), "metric", "value")
 
 
 def audit_report(before: DataFrame, after: DataFrame, decisions: Mapping[str, object],
