@@ -374,13 +374,6 @@ def tokens(spark, sf):
     return variants.withColumn("token", X.url_token(F.col("variant")))
 
 
-@query("x17_pages_to_posts", f"""
-    WITH {RENDERED.replace("FROM pages)", "FROM pages WHERE html IS NOT NULL)")}, src AS (SELECT url, html FROM rendered), {sql_body('src', 'Town Site')}
-    SELECT title, NULL::DATE AS date, body_text, url FROM bodies""")
-def posts(spark, sf):
-    return P.pages_to_posts(rendered_pages(spark, sf), "Town Site")
-
-
 # --- token features -------------------------------------------------------------------------------
 
 SQL_STOP = "[" + ", ".join(q(w) for w in STOPWORDS) + "]"

@@ -12,7 +12,7 @@ from contract.extraction import (
     FACT_ARGS, FACTS_SQL, SQL_PHONE, SQL_SENTENCES, fact_pages, sql_clean_punct, sql_clean_text,
 )
 from contract.profiles import COPIED_EVENTS, copied_events, sql_summary
-from trailkeep.operators.pages import extract_facts, pages_to_records
+from trailkeep.operators.pages import extract_facts, pages_to_posts, pages_to_records
 from trailkeep.plans import clean as L
 from trailkeep.plans.collect import admit_pages, build_reviewed, collect_contacts, collect_profile, collect_records
 from trailkeep.plans.summary import master_summary
@@ -92,6 +92,11 @@ RECORDS_SQL = f"""{PROJECT_PAGES}, {sql_body('src', 'Town Site')},
 RECORD_COLUMNS = ", ".join(c for c in PROJECT_COLUMNS if c != "project_id")
 
 
+@query("x17_pages_to_posts", f"WITH {PROJECT_PAGES}, {sql_body('src', 'Town Site')} SELECT title, date, body_text, url FROM bodies")
+def posts(spark, sf):
+    return pages_to_posts(project_pages(spark, sf), "Town Site")
+
+
 @query("x18_pages_to_records", f"WITH {RECORDS_SQL} SELECT {RECORD_COLUMNS}, unit_no FROM records")
 def records(spark, sf):
     return pages_to_records(project_pages(spark, sf), RULES).drop("project_id")

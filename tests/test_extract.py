@@ -24,6 +24,16 @@ is ongoing under the Constituency Development Fund at K1.2 million.</p>
 RULES = SiteRules(SITE, "Town Site", places=place_rules(["Lusu", "Moomba"], ["Nalo"], ["Town"]))
 
 
+t_page = F.lit("page")
+
+
+def _stored(spark):
+    from trailkeep.session import shared_folder
+    path = f"{shared_folder(spark)}/stored-pages"
+    pages(spark, BUNDLE).write.mode("overwrite").parquet(path)
+    return path
+
+
 def pages(spark, *htmls):
     return spark.createDataFrame([(f"{SITE}/?p={i}", h) for i, h in enumerate(htmls, 1)], "url string, html string")
 
@@ -36,6 +46,16 @@ def test_bundled_page(spark):
     assert {r.project_id for r in rows} == {"REC-001", "REC-002"}
 
 
+def test_extraction_is_not_repeated_in_a_filter(spark):
+    frame = spark.read.schema("url string, html string").parquet(_stored(spark))
+    for found in (P.pages_to_records(frame, RULES), P.paragraphs(frame), P.extract_links(frame),
+                  P.extract_contacts(frame.withColumnsRenamed({"html": "text", "url": "source_url"}).withColumn("source_page", t_page))):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in plan.splitlines() if line.lstrip(" +-").startswith("Filter")]
+        assert filters and not any("regexp" in line for line in filters)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_title_does_not_leak_into_units(spark):
     html = """<title>CDF completed projects</title><article>
     <p>Construction of a school is ongoing under CDF.</p>

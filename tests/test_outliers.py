@@ -34,6 +34,12 @@ def test_bracketed_quartiles_are_exact(spark, shape):
         assert np.allclose([r.q1, r.q2, r.q3], np.quantile(mine, [0.25, 0.5, 0.75]), rtol=1e-12)
 
 
+def test_approximate_fences_take_present_values(spark):
+    row = O.iqr_fences(amounts(spark), ["x"], approximate=True).first()
+    assert row.n == 11 and row.q1 in AMOUNTS and row.q3 in AMOUNTS
+    assert row.upper == pytest.approx(row.q3 + 1.5 * (row.q3 - row.q1))
+
+
 def test_groups_without_values_have_no_fence(spark):
     frame = spark.createDataFrame([("a", 1.0, None), ("a", 3.0, None), ("b", None, None), (None, 5.0, None)], "g string, x double, y double")
     fences = {(r.g, r.column): r for r in O.iqr_fences(frame, ["x", "y"], ["g"]).collect()}
