@@ -54,10 +54,15 @@ def exact_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
         # A small group is counted whole: the sketch may be off by one rank there.
         return F.when(F.col("n") <= small_group, F.lit(open_end)).otherwise(F.col("__edges")[i])
 
-    brackets = checkpointed(sketch.select(
+    brackets = sketch.select(
         *group, "n", *[edge(i, -_INFINITY if i % 2 == 0 else _INFINITY).alias(f"__e{i}") for i in range(len(edges))]
-    ))
-    placed = lookup_join(long, brackets, group, "inner")
+    )
+    if by:
+        placed = lookup_join(long, checkpointed(brackets), group, "inner")
+    else:
+        # One row per column: collected instead of being staged and measured.
+        rows = df.sparkSession.createDataFrame(brackets.collect(), brackets.schema)
+        placed = long.join(F.broadcast(rows), "column")
     value = F.col("value")
     inside = [value.between(F.col(f"__e{2 * i}"), F.col(f"__e{2 * i + 1}")) for i in range(len(points))]
     in_any = inside[0] | inside[1] | inside[2]
