@@ -75,6 +75,18 @@ def unique_ids(spark, sf):
     return Q.validate(documents, [Q.present("id is present", "id"), Q.unique("id is unique", "id")], "doc_id")
 
 
+@query("v9_columns", "SELECT c_custkey, c_acctbal, 2 AS lacking FROM customer")
+def complete_columns(spark, sf):
+    customer = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    Q.same_columns(customer, ["c_custkey", "c_acctbal"])
+    try:
+        Q.required_columns(customer, ["c_custkey", "phone", "email"])
+        lacking = 0
+    except Q.GateError as error:
+        lacking = error.failed[0][1]
+    return customer.withColumn("lacking", F.lit(lacking))
+
+
 @query("v10_email_form", f"""
     WITH e AS (SELECT doc_id, CASE WHEN lang = 'de' THEN NULL WHEN lang = 'fr' THEN source || '@' || lang || '.org'
                                    ELSE regexp_extract(text, {q(f'[^{WS[1:-1]}]+')}) || '@x.org' END AS email FROM documents)
