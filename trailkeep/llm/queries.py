@@ -5,19 +5,89 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trailkeep.llm import minhash
+from trailkeep.llm import codec, decontaminate, html_text, language, licenses, lines, minhash, pii, sharding, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+
+    return register
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@_query("op1_licenses")
+def op1_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
+@_query("op2_sharding")
+def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    names = [f"shard-{i:03d}" for i in range(sharding.SHARDS)]
+    return sharding.place(_table(spark, sf, "documents").select("doc_id", "source", "n_chars"), "doc_id", names)
+
+
+@_query("op3_language")
+def op3_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+    found = language.identify(docs, language.train(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@_query("op4_minhash")
 def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op4_minhash": op4_minhash}
-ORACLES: dict[str, str] = {}
+@_query("op5_vectors")
+def op5_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf, "embeddings"))
+
+
+@_query("op6_sentencepiece")
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return codec.encode(_table(spark, sf, "documents"))
+
+
+@_query("op7_html")
+def op7_html(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf, "pages"))
+
+
+@_query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+@_query("op9_pii")
+def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
+@_query("op10_lines", """
+WITH each AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+spread AS (
+  SELECT trim(line) AS line, min(doc_id) AS first_doc FROM each WHERE source IS NOT NULL AND trim(line) <> ''
+  GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+kept AS (
+  SELECT e.doc_id, e.pos, e.line, s.line IS NULL OR e.doc_id = s.first_doc AS stays
+  FROM each e LEFT JOIN spread s ON trim(e.line) = s.line)
+SELECT d.doc_id, count(k.pos) AS n_lines, count(k.pos) FILTER (NOT stays) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(k.line, chr(10) ORDER BY pos) FILTER (stays), '') END AS text
+FROM documents d LEFT JOIN kept k USING (doc_id) GROUP BY d.doc_id, d.text""")
+def op10_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.dedup_lines(_table(spark, sf, "documents"))
