@@ -23,6 +23,8 @@ WIDTH = 5
 PERCENT = 75
 ROWS, BANDS = 4, 32
 BINS = 128
+#: Size of the cell maps that bound what two sets can share.
+WORDS = 16
 _SHIFT = np.uint64(64 - 7)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -152,6 +154,19 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(low), pa.array(np.full(len(low), node, np.int64))], ["h", "node"])
 
 
+def _occupied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of 64 * WORDS cells of the hash range hold a shingle, as WORDS numbers of 64 bits."""
+    for batch in batches:
+        rows = []
+        for text in batch.column(1):
+            cells = np.zeros(64 * WORDS, np.uint8)
+            cells[(shingle_hashes(text.as_py()) >> np.uint64(8)) % np.uint64(64 * WORDS)] = 1
+            rows.append(np.packbits(cells).view(np.int64))
+        flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+        offsets = np.arange(len(rows) + 1, dtype=np.int32) * WORDS
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["node", "cells"])
+
+
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose full sets are similar enough."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("left"))
@@ -166,6 +181,15 @@ def _possible() -> F.Column:
     return 100 * most >= PERCENT * (F.col("x.n") + F.col("y.n") - most)
 
 
+def _near_enough() -> F.Column:
+    """The same by cells: each cell that only one set occupies holds at least one shingle the other lacks."""
+    def lacking(a: str, b: str) -> F.Column:
+        return F.expr(" + ".join(f"bit_count({a}.cells[{i}] & ~{b}.cells[{i}])" for i in range(WORDS)))
+
+    most = F.least(F.col("x.n") - lacking("x", "y"), F.col("y.n") - lacking("y", "x"))
+    return 100 * most >= PERCENT * (F.col("x.n") + F.col("y.n") - most)
+
+
 def _open_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component, with their component's ``root``."""
     roots = components(links).withColumnRenamed("id", "node")
@@ -204,8 +228,11 @@ def _links(slim: DataFrame, nodes: DataFrame, signed: DataFrame) -> DataFrame:
     links = staged(links.unionByName(_linked(second, texts)))
 
     members = _open_buckets(members.drop("root"), links)
+    opened = texts.join(members.select("node").distinct(), "node").select("node", "text")
+    cells = map_arrow(opened, _occupied, "node long, cells array<long>").dropDuplicates(["node"])
+    members = staged(members.join(cells, "node"))
     rest = (
-        members.alias("x").join(members.alias("y"), joined & F.expr("x.node < y.node"))
+        members.alias("x").join(members.alias("y"), joined & F.expr("x.node < y.node") & _near_enough())
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     done = second.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return links.unionByName(_linked(staged(rest).join(done, ["a", "b"], "left_anti"), texts))
@@ -217,8 +244,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents link when 100 times the shared shingles are at least 75 times the united ones. Equal sets are one
     node however many documents hold it. The first star's centre is a bucket's smallest node, the second's the
     member with the fewest shingles that no other open member has. What is left are pairs of one bucket in
-    different components whose sizes and shared shingles still allow a link: these are compared one by one, so
-    no link between bucket mates is lost. Rows with null or blank text, or null id, link with nothing and are
+    different components whose sizes, shared shingles and occupied hash cells still allow a link: these are compared
+    one by one, so no link between bucket mates is lost. Rows with null or blank text, or null id, link with nothing and are
     kept (component_id is their own id); rows that share an id are linked by it. An empty table gives an empty
     result; other columns are ignored.
     """
