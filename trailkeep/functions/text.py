@@ -166,9 +166,21 @@ def strip_html(col: Column, profile: str = "article") -> Column:
 # --- token features ---------------------------------------------------------------------------
 
 
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Case folding of lower-case characters: to one character, and to several."""
+    found = {c: c.casefold() for c in map(chr, range(0x110000)) if c.lower() == c != c.casefold() and not "\ud800" <= c <= "\udfff"}
+    return {c: f for c, f in found.items() if len(f) == 1}, {c: f for c, f in found.items() if len(f) > 1}
+
+
+_SINGLE, _SEVERAL = _folds()
+
+
 def case_fold(col: Column) -> Column:
-    """Lower case with sharp s and final sigma folded (lower(upper(x)) is simplified away by the optimizer)."""
-    return F.translate(F.replace(F.lower(col), F.lit("ß"), F.lit("ss")), "ς", "σ")
+    """Full case folding: lower case, then the few lower-case characters that fold further (sharp s, micro sign, ligatures)."""
+    lower = F.translate(F.lower(col), "".join(_SINGLE), "".join(_SINGLE.values()))
+    table = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in _SEVERAL.items()])
+    longer = F.aggregate(table, lower, lambda text, x: F.replace(text, x["c"], x["f"]))
+    return F.when(lower.rlike(f"[{''.join(_SEVERAL)}]"), longer).otherwise(lower)
 
 
 def clean_text(col: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:

@@ -58,14 +58,24 @@ def info(df: DataFrame) -> DataFrame:
     return counts.withColumn("type", kind)
 
 
+def _dates_as_numbers(df: DataFrame) -> DataFrame:
+    """Dates as days and timestamps as seconds since 1970-01-01."""
+    days = {f.name: F.unix_date(F.col(f.name)).cast("double") for f in df.schema if isinstance(f.dataType, T.DateType)}
+    seconds = {f.name: F.unix_micros(F.col(f.name)) / 1e6 for f in df.schema if isinstance(f.dataType, T.TimestampType)}
+    return df.withColumns({**days, **seconds}) if days or seconds else df
+
+
 def describe_all(df: DataFrame) -> DataFrame:
     """(column, count, unique, top, freq, mean, std, min, q1, q2, q3, max), the statistics as numbers.
 
-    Text columns get unique, top (smallest value on ties) and freq, numeric ones the rest. The value
+    Dates count as days and timestamps as seconds since 1970-01-01. Text columns get unique, top (smallest value on ties) and freq, numeric ones the rest. The value
     counts of all text columns are one shuffle with map-side combination.
     """
+    df = _dates_as_numbers(df)
     numeric = _numeric(df)
     text = text_like(df)
+    if not numeric and not text:
+        raise ValueError("no column of a kind that can be described")
     number = F.lit(None).cast("double")
     parts = []
     if text:

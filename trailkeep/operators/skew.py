@@ -66,9 +66,23 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return salted.join(spread, match, how).drop(*names, "__salt", "__s")
 
 
+def _cell_text(field: T.StructField) -> Column:
+    """A cell as text, different for different values: timestamps to the microsecond, one zero and one NaN."""
+    col, kind = F.col(field.name), field.dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(F.isnan(col), "NaN").otherwise((col + F.lit(0.0)).cast("string"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col).cast("string")
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(F.struct(col), {"ignoreNullFields": "false"})
+    return F.hex(col) if isinstance(kind, T.BinaryType) else col.cast("string")
+
+
 def fingerprint(df: DataFrame, keys: Sequence[str]) -> Column:
-    """One short grouping value for wide keys (SHA-256 of all cells, missing kept apart from blank)."""
-    return F.sha2(F.to_json(F.struct(*[F.col(k) for k in keys]), {"ignoreNullFields": "false"}), 256)
+    """One short grouping value for wide keys (SHA-256 of all cells with their lengths, missing kept apart from blank)."""
+    cells = [_cell_text(df.schema[k]) for k in keys]
+    marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]
+    return F.sha2(F.concat(*marked).cast("binary"), 256)
 
 
 def group_keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:

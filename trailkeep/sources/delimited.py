@@ -39,10 +39,17 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, na: str
 
 
 def _plain(col: Column) -> Column:
-    """A floating number without exponent, where 38 digits allow it."""
+    """A floating number without exponent: the digits of its shortest text, shifted, none of them lost."""
     text = col.cast("string")
-    plain = F.regexp_replace(col.try_cast("decimal(38,18)").cast("string"), r"\.?0+\z", "")
-    return F.when(F.isnan(col), "").when(F.contains(text, F.lit("E")), F.coalesce(plain, text)).otherwise(text)
+    form = r"^-?([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    whole, power = F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 3).try_cast("int")
+    part = F.regexp_replace(F.regexp_extract(text, form, 2), "0+$", "")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), whole, part)
+    shifted = F.concat(whole, F.substring(part, F.lit(1), power), F.lit("."), F.substring(part, power + 1, F.length(part)))
+    large = F.when(F.length(part) <= power, F.concat(whole, F.rpad(part, power, "0"))).otherwise(shifted)
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    plain = F.concat(sign, F.when(power < 0, small).otherwise(large))
+    return F.when(F.isnan(col), "").when(text.rlike(form), plain).otherwise(text)
 
 
 def export_text(df: DataFrame) -> DataFrame:

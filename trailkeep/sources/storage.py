@@ -17,10 +17,21 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
-    """Put a staged write in the place of ``path``."""
+    """Put a staged write in the place of ``path``; the old table is set aside until the new one is in place."""
     fs, target = _fs(spark, path)
     source = spark._jvm.org.apache.hadoop.fs.Path(staged)
-    if fs.exists(target):
-        fs.delete(target, True)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.replaced")
+    if not fs.exists(source):
+        raise OSError(f"nothing is staged at {staged}")
+    had = fs.exists(target)
+    if had:
+        if fs.exists(aside):
+            fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"cannot set {path} aside")
     if not fs.rename(source, target):
+        if had:
+            fs.rename(aside, target)
         raise OSError(f"cannot move {staged} to {path}")
+    if had:
+        fs.delete(aside, True)
