@@ -21,12 +21,13 @@ def test_golden_fences(spark):
 
 
 @pytest.mark.parametrize("shape", ["even", "tied", "long tail"])
-def test_bracketed_quartiles_are_exact(spark, shape):
-    """Small sketches and no small groups, so that the brackets really decide."""
+@pytest.mark.parametrize("accuracy, slices", [(1000, 4096), (10, 3)])
+def test_narrowed_quartiles_are_exact(spark, shape, accuracy, slices):
+    """A poor sketch and few slices cost more passes, never the result."""
     rng = np.random.default_rng(3)
     values = {"even": rng.uniform(size=40000), "tied": rng.integers(0, 4, 40000).astype(float), "long tail": rng.pareto(1, 40000)}[shape]
     frame = spark.createDataFrame([(float(v), "ab"[i % 2]) for i, v in enumerate(values)], "x double, g string")
-    found = O.exact_quartiles(frame.repartition(9), ["x"], ["g"], accuracy=1000, bracket=0.01, small_group=0).collect()
+    found = O.exact_quartiles(frame.repartition(9), ["x"], ["g"], accuracy=accuracy, bracket=0.01, slices=slices).collect()
     assert len(found) == 2
     for r in found:
         mine = values["ab".index(r.g)::2]
@@ -34,6 +35,26 @@ def test_bracketed_quartiles_are_exact(spark, shape):
         assert np.allclose([r.q1, r.q2, r.q3], np.quantile(mine, [0.25, 0.5, 0.75]), rtol=1e-12)
 
 
+@pytest.mark.parametrize("values", [
+    [7.0], [1.0, 2.0], [0.0, -0.0, 5.0], [-1e308, 1e308, 0.0, 1.0], [5e-324 * i for i in range(1, 6)], [1.0] * 9 + [float("inf")] + [-float("inf")],
+])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quartiles_of_odd_values(spark, values, by):
+    frame = spark.createDataFrame([(v, None) for v in values], "x double, g string")
+    row = O.exact_quartiles(frame, ["x"], by, accuracy=2, slices=2).first()
+    with np.errstate(all="ignore"):
+        assert np.array_equal([row.q1, row.q2, row.q3], np.quantile(values, [0.25, 0.5, 0.75]))
+
+
+def test_ranking_sees_few_rows(spark):
+    """What one task ranks is bounded by the number of slices, however many values a column has."""
+    long = spark.range(1_000_000).select(F.lit("x").alias("column"), F.xxhash64("id").cast("double").alias("value"))
+    low, high = long.agg(F.min("value"), F.max("value")).first()
+    state = spark.createDataFrame([("x", [0], [([low, 0.0, high], 0)])], "column string, ranks array<long>, open array<struct<breaks:array<double>,below:long>>")
+    counts = O._slice_counts(long.join(F.broadcast(state), "column"), ["column"], 500)
+    assert counts.count() <= 3 * 502 and counts.agg(F.sum("c")).first()[0] == 1_000_000
+
+
 def test_approximate_fences_take_present_values(spark):
     row = O.iqr_fences(amounts(spark), ["x"], approximate=True).first()
     assert row.n == 11 and row.q1 in AMOUNTS and row.q3 in AMOUNTS

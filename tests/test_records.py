@@ -5,7 +5,7 @@ from trailkeep.operators import dedup as D
 from trailkeep.operators import order as K
 from trailkeep.operators.joins import apply_review, filter_admitted
 from trailkeep.operators.quality import GateError, frames_equal
-from trailkeep.operators.skew import heavy_keys, is_small, lookup_join
+from trailkeep.operators.skew import is_small, lookup_join
 
 
 def rows(df):
@@ -73,32 +73,40 @@ def test_lookup_is_the_same_on_every_path(skewed, spark, how):
     names = spark.createDataFrame([("hot", 1), (None, 2), ("4", 3), ("nowhere", 4)], "k string, name int")
     small = lookup_join(skewed, names, ["k"], how)
     shuffled = lookup_join(skewed, names, ["k"], how, broadcast_rows=0)
-    salted = lookup_join(skewed, names, ["k"], how, broadcast_rows=0, heavy_rows=100)
     assert "BroadcastHashJoin" in physical(small)
-    assert rows(small) == rows(shuffled) == rows(salted)
-    assert small.count() > 0 and salted.columns == small.columns
-
-
-def test_salt_spreads_the_hot_key(skewed, spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert rows(small) == rows(shuffled)
+    assert small.count() > 0 and shuffled.columns == small.columns
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    """Three quarters of the rows are equal; adaptive execution deals them to several tasks."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512b",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512b", "spark.sql.shuffle.partitions": "64",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
-        names = spark.createDataFrame([("hot", 1)], "k string, name int")
-        plan = physical(lookup_join(skewed, names, ["k"], "inner", broadcast_rows=0, heavy_rows=100))
+        left = spark.range(0, 40000, 1, 32).select(
+            F.when(F.col("id") % 4 > 0, -1).otherwise(F.col("id")).alias("k"),
+            F.when(F.col("id") % 4 > 0, 0.0).otherwise(F.rand(3)).alias("v"))
+        right = spark.range(-1, 40000).select(F.col("id").alias("k"), F.lit(1).alias("x"))
+        found = lookup_join(left, right, ["k"], "inner", broadcast_rows=0)
+        per_task = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "__salt" in plan and "SortMergeJoin" in plan
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 40000 and max(per_task) < 15000
 
 
-def test_heavy_keys_and_sizes(skewed):
-    assert len(heavy_keys(skewed, ["k"], min_rows=900)) == 2  # the hot key and the missing one
+def test_sizes_are_counted(skewed):
     assert is_small(skewed) and not is_small(skewed, max_rows=10) and not is_small(skewed, max_bytes=100)
 
 
 def test_types_of_keys_may_differ(spark):
     left = spark.range(100).select(F.col("id").cast("int").alias("k"))
     right = spark.range(50).select(F.col("id").alias("k"), F.lit(1).alias("x"))
-    salted = lookup_join(left, right, ["k"], "inner", broadcast_rows=0, heavy_rows=1)
-    assert salted.count() == 50
+    assert lookup_join(left, right, ["k"], "inner", broadcast_rows=0).count() == 50
 
 
 def test_ids_are_dense_and_sorted(spark):

@@ -29,8 +29,8 @@ def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequ
         return df.distinct()
     if rest == order and len(rest) == 1:
         return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0])).select(*df.columns)
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")
-    return df.groupBy(*keys).agg(first).select(*[c if c in keys else f"__first.{c}" for c in df.columns])
+    first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__first")
+    return df.groupBy(*group_keys(df, keys)).agg(first).select("__first.*")
 
 
 def dedup_except_id(df: DataFrame, id_col: str, order: str | Sequence[str] | None = None) -> DataFrame:
@@ -110,6 +110,6 @@ def refuse_repeated(df: DataFrame, keys: str | Sequence[str], rule: str) -> None
 def dedup_by_url_checked(df: DataFrame, url: str, order: str | Sequence[str],
                          id_col: str | None = None) -> DataFrame:
     """Exact copies removed; refused if a URL still has different contents; one row per URL."""
-    variants = dedup_except_id(df, id_col or _names(order)[0], order)
+    variants = checkpointed(dedup_except_id(df, id_col or _names(order)[0], order))
     refuse_repeated(variants.select(url), url, f"one content per {url}")
     return variants

@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from trailkeep.functions.extract import url_host
 from trailkeep.operators.dedup import refuse_repeated
 from trailkeep.operators.quality import GateError
-from trailkeep.operators.skew import lookup_join
+from trailkeep.operators.skew import is_small, lookup_join
+from trailkeep.session import checkpointed
 
 
 def apply_review(decisions: DataFrame, posts: DataFrame, key: str, found: Sequence[str]) -> DataFrame:
-    """Each decision with the ``found`` columns of its post. An unknown or repeated post is an error."""
-    refuse_repeated(posts.select(key), key, "one post per id")
-    known = posts.select(key, *found, F.lit(True).alias("__known"))
-    reviewed = lookup_join(decisions, known, [key], "left")
+    """Each decision with the ``found`` columns of its post. An unknown or repeated post is an error.
+
+    The decisions are the small side: only the posts they name are kept and checked.
+    """
+    named = decisions.select(F.col(key).cast(posts.schema[key].dataType).alias(key)).distinct()
+    known = checkpointed(lookup_join(posts.select(key, *found), named, [key], "left_semi"))
+    refuse_repeated(known.select(key), key, "one post per id")
+    reviewed = lookup_join(decisions, known.withColumn("__known", F.lit(True)), [key], "left")
     lost = reviewed.filter(F.col("__known").isNull()).agg(
         F.count(F.lit(1)).alias("n"), F.min(key).cast("string").alias("k")
     ).first()
@@ -29,14 +34,15 @@ def apply_review(decisions: DataFrame, posts: DataFrame, key: str, found: Sequen
 def filter_admitted(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """URLs that the rules of their host do not forbid: the first rule whose prefix fits decides.
 
-    ``rules`` holds (host, rule_order, allow, prefix); a host without rules admits everything. The
-    rules of one host are one access file, so they are kept together in one row.
+    ``rules`` holds (host, rule_order, allow, prefix); a host without rules admits everything. Of rules
+    with one order the one of smaller prefix decides.
     """
-    per_host = rules.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct("rule_order", "prefix", "allow"))).alias("__rules")
-    )
-    keyed = urls.withColumn("host", url_host(F.col(url)))
-    target = F.regexp_replace(F.col(url), r"\A[^:/?#]+://[^/?#]*|#.*", "")
-    fits = F.filter("__rules", lambda r: F.startswith(F.when(target == "", "/").otherwise(target), r["prefix"]))
-    allowed = F.coalesce(F.get(fits, F.lit(0))["allow"], F.lit(True))
-    return lookup_join(keyed, per_host, ["host"], "left").filter(allowed).drop("__rules", "host")
+    each = urls.select(F.col(url).alias("__url")).distinct()
+    path = F.regexp_replace("__url", r"\A[^:/?#]+://[^/?#]*|#.*", "")
+    keyed = each.select("__url", url_host(F.col("__url")).alias("__host"), F.when(path == "", "/").otherwise(path).alias("__path"))
+    rules = rules.select("host", "rule_order", "allow", "prefix")
+    rules = F.broadcast(rules) if is_small(rules) else rules
+    fits = keyed.join(rules, F.col("__host").eqNullSafe(F.col("host")) & F.startswith("__path", F.col("prefix")))
+    first = fits.groupBy("__url").agg(F.min_by("allow", F.struct("rule_order", "prefix", "allow")).alias("allow"))
+    denied = checkpointed(first.filter(~F.col("allow")).select(F.col("__url").alias(url)))
+    return lookup_join(urls, denied, [url], "left_anti")

@@ -1,13 +1,16 @@
 """Quartiles, interquartile fences, and what to do with the values beyond them.
 
-The quartiles are exact with linear interpolation, without gathering the values of a group: a
-mergeable sketch brackets each quartile, and only the values inside the brackets are counted one by
-one. Everything outside a bracket arrives as one row per map task.
+The quartiles are exact with linear interpolation, without gathering or sorting the values of a
+group: a mergeable sketch cuts the range of values into segments, counts per slice of a segment
+(combined before the shuffle) tell in which slice a rank lies, and a slice with more than one value
+is cut again. The sketch only decides how soon the slices are narrow, never the result.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,9 +23,10 @@ from trailkeep.session import checkpointed
 
 SKETCH_ACCURACY = 50_000
 BRACKET = 1e-4
-SMALL_GROUP = 50_000
+SLICES = 4096
 FENCE_FACTOR = 1.5
 _INFINITY = float("inf")
+_LARGEST = sys.float_info.max
 
 
 def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -37,62 +41,89 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull())
 
 
-def exact_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
-                    accuracy: int = SKETCH_ACCURACY, bracket: float = BRACKET,
-                    small_group: int = SMALL_GROUP) -> DataFrame:
-    """(by..., column, n, q1, q2, q3) of the non-missing values; no row for an empty group."""
-    by = list(by)
-    group = [*by, "column"]
-    long = _long(df, cols, by)
-    points = (0.25, 0.5, 0.75)
-    edges = [edge for p in points for edge in (p - bracket, p + bracket)]
-    sketch = long.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", edges, accuracy).alias("__edges")
+def _slice_counts(placed: DataFrame, group: Sequence[str], slices: int) -> DataFrame:
+    """(group..., at, segment, slice, below, ranks, lo, hi, c): counts per slice of each open range.
+
+    ``open`` holds disjoint ranges as (breaks, below): ascending break points, and how many values lie
+    below the first one. There are at most ``slices`` + 2 slices between two break points.
+    """
+    value, breaks = F.col("value"), F.col("range.breaks")
+    at = F.expr("filter(open, r -> value >= r.breaks[0] AND value <= element_at(r.breaks, -1))")
+    ranged = placed.withColumn("range", F.get(at, F.lit(0))).filter(F.col("range").isNotNull())
+    segment = F.size(F.filter(breaks, lambda b: b <= value))
+    ranged = ranged.withColumn("segment", segment)
+    low = F.greatest(F.get(breaks, F.col("segment") - 1), F.lit(-_LARGEST))
+    high = F.least(F.get(breaks, F.col("segment")), F.lit(_LARGEST))
+    half = F.when(high - low == _INFINITY, 0.5).otherwise(1.0)
+    share = F.try_divide(value * half - low * half, high * half - low * half)
+    part = F.when(value == -_INFINITY, -1).when(value == _INFINITY, slices + 1).otherwise(
+        F.coalesce(F.floor(share * slices), F.lit(0)))
+    return ranged.groupBy(
+        *group, breaks[0].alias("at"), "segment", part.cast("int").alias("slice")
+    ).agg(
+        F.first("range.below").alias("below"), F.first("ranks").alias("ranks"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("c"),
     )
 
-    def edge(i: int, open_end: float) -> Column:
-        # A small group is counted whole: the sketch may be off by one rank there.
-        return F.when(F.col("n") <= small_group, F.lit(open_end)).otherwise(F.col("__edges")[i])
 
-    brackets = sketch.select(
-        *group, "n", *[edge(i, -_INFINITY if i % 2 == 0 else _INFINITY).alias(f"__e{i}") for i in range(len(edges))]
-    )
-    if by:
-        placed = lookup_join(long, checkpointed(brackets), group, "inner")
-    else:
-        # One row per column: collected instead of being staged and measured.
-        rows = df.sparkSession.createDataFrame(brackets.collect(), brackets.schema)
-        placed = long.join(F.broadcast(rows), "column")
-    value = F.col("value")
-    inside = [value.between(F.col(f"__e{2 * i}"), F.col(f"__e{2 * i + 1}")) for i in range(len(points))]
-    in_any = inside[0] | inside[1] | inside[2]
-    # A value outside the brackets only counts: it takes the place of the bracket end below it.
-    place = (
-        F.when(in_any, value)
-        .when(value > F.col("__e5"), F.col("__e5"))
-        .when(value > F.col("__e3"), F.col("__e3"))
-        .when(value > F.col("__e1"), F.col("__e1"))
-        .otherwise(F.lit(-_INFINITY))
-    )
-    counted = placed.groupBy(*group, "n", place.alias("value"), (~in_any).alias("outside")).agg(
-        F.count(F.lit(1)).alias("__c")
-    )
-    running = W.partitionBy(*group).orderBy("value", "outside").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("__end", F.sum("__c").over(running))
+def _picked(counts: DataFrame, group: Sequence[str]) -> DataFrame:
+    """(group..., rank, lo, hi, below): the slice that holds each rank. The window spans the slices of one range."""
+    running = W.partitionBy(*group, "at").orderBy("segment", "slice").rowsBetween(W.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("c").over(running), F.lit(0))
+    placed = counts.withColumn("below", start)
+    hits = F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("c")))
+    return placed.select(*group, F.explode(hits).alias("rank"), "lo", "hi", "below")
 
-    def at_rank(rank: Column) -> Column:
-        hit = (F.col("__end") > rank) & (F.col("__end") - F.col("__c") <= rank)
-        exact = F.when(F.col("outside"), F.raise_error(F.lit("quartile outside its bracket")).cast("double"))
-        return F.max(F.when(hit, F.coalesce(exact, F.col("value"))))
 
-    picks, result = [], []
-    for i, p in enumerate(points, start=1):
-        position = (F.col("n") - 1) * F.lit(p)
-        low = F.floor(position)
-        picks += [at_rank(low).alias(f"__lo{i}"), at_rank(F.ceil(position)).alias(f"__hi{i}")]
-        part = F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (position - low)
-        result.append(part.alias(f"q{i}"))
-    return ranked.groupBy(*group, "n").agg(*picks).select(*group, "n", *result)
+def _kept(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A table of a few rows per group, computed once: staged, or collected where each column is the only group."""
+    return checkpointed(df) if by else df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def exact_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
+                    accuracy: int = SKETCH_ACCURACY, bracket: float = BRACKET, slices: int = SLICES,
+                    points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(by..., column, n, q1, q2, q3) of the non-missing values; no row for an empty group.
+
+    ``points`` may name other quantiles; they become q1, q2 and so on.
+    """
+    by = list(by)
+    group = [*by, "column"]
+    long = _long(df, cols, by).withColumn("value", F.col("value") + F.lit(0.0))
+    edges = [min(max(edge, 0.0), 1.0) for p in points for edge in (p - bracket, p + bracket)]
+    sketch = long.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("__min"), F.max("value").alias("__max"),
+        F.percentile_approx("value", edges, accuracy).alias("__edges"),
+    )
+    breaks = F.array_sort(F.array_distinct(F.concat(F.array("__min"), "__edges", F.array("__max"))))
+    positions = [(F.col("n") - 1) * F.lit(p) for p in points]
+    ranks = F.array_distinct(F.array(*[end for p in positions for end in (F.floor(p), F.ceil(p))]))
+    sizes = _kept(sketch.select(*group, "n", ranks.alias("ranks"), F.array(
+        F.struct(breaks.alias("breaks"), F.lit(0).cast("bigint").alias("below"))).alias("open")), by)
+    state, settled = sizes.drop("n"), []
+    while True:
+        placed = lookup_join(long, state, group, "inner") if by else long.join(F.broadcast(state), "column")
+        picked = _kept(_picked(_slice_counts(placed, group, slices), group), by)
+        settled.append(picked.filter("lo = hi").select(*group, "rank", F.col("lo").alias("value")))
+        rest = picked.filter("lo < hi")
+        if rest.isEmpty():
+            break
+        state = rest.groupBy(*group).agg(
+            F.collect_set("rank").alias("ranks"),
+            F.collect_set(F.struct(F.array("lo", "hi").alias("breaks"), "below")).alias("open"),
+        )
+        state = checkpointed(state) if by else state
+    found = reduce(DataFrame.unionByName, settled)
+    joined = lookup_join(found, sizes.select(*group, "n"), group, "inner") if by else found.join(
+        F.broadcast(sizes.select("column", "n")), "column")
+    result = []
+    picks = []
+    for i, position in enumerate(positions, start=1):
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            picks.append(F.max(F.when(F.col("rank") == rank, F.col("value"))).alias(f"__{side}{i}"))
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        result.append((low + (high - low) * (position - F.floor(position))).alias(f"q{i}"))
+    return joined.groupBy(*group, "n").agg(*picks).select(*group, "n", *result)
 
 
 def iqr_fences(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
@@ -104,7 +135,7 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), appro
             F.percentile_approx("value", [0.25, 0.75], SKETCH_ACCURACY).alias("__q"),
         ).select(*by, "column", "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("q3"))
     else:
-        quarts = exact_quartiles(df, cols, by).drop("q2")
+        quarts = exact_quartiles(df, cols, by, points=(0.25, 0.75)).withColumnRenamed("q2", "q3")
     reach = (F.col("q3") - F.col("q1")) * FENCE_FACTOR
     return quarts.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
 

@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HEAVY_KEYS = 256
-HEAVY_ROWS = 1_000_000
-SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -27,43 +24,22 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return size.n <= max_rows and size.b <= max_bytes
 
 
-def key_hash(keys: Sequence[Column]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def heavy_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HEAVY_ROWS) -> list[int]:
-    """Hashes of the heaviest keys, at most ``HEAVY_KEYS``: any other key holds under 1/256 of the rows."""
-    counts = df.groupBy(key_hash([F.col(k) for k in keys]).alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.filter(F.col("n") >= min_rows).orderBy(F.desc("n"), "h").limit(HEAVY_KEYS)
-    return [row.h for row in top.collect()]
-
-
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                broadcast_rows: int = BROADCAST_ROWS, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join to a table with at most one row per key; missing keys equal missing keys.
 
     A right side of checked size is broadcast and the left side is not shuffled. Beyond that both
-    sides are shuffled, with the heaviest keys of the left side spread over ``SALTS`` partitions.
+    sides are shuffled, and adaptive execution splits the partitions of heavy keys by map output, so
+    that equal rows of one key are spread as well.
     """
     right = right.select(
         *[F.col(k).cast(left.schema[k].dataType).alias(f"__{k}") for k in keys],
         *[c for c in right.columns if c not in keys],
     )
     match = [left[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
-    names = [f"__{k}" for k in keys]
     if is_small(right, max_rows=broadcast_rows):
-        return left.join(F.broadcast(right), match, how).drop(*names)
-    heavy = heavy_keys(left, keys, heavy_rows)
-    if not heavy:
-        return left.join(right, match, how).drop(*names)
-    # The salt comes from the row's own content, so that a task run twice sends it the same way.
-    hot = key_hash([F.col(k) for k in keys]).isin(*heavy)
-    salted = left.withColumn("__salt", F.when(hot, F.pmod(F.xxhash64(*left.columns), F.lit(SALTS))).otherwise(F.lit(0)))
-    zero = F.lit(0).cast("bigint")
-    copies = F.when(key_hash([F.col(n) for n in names]).isin(*heavy), F.sequence(zero, F.lit(SALTS - 1).cast("bigint")))
-    spread = right.withColumn("__s", F.explode(F.coalesce(copies, F.array(zero))))
-    match = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col("__salt") == F.col("__s")]
-    return salted.join(spread, match, how).drop(*names, "__salt", "__s")
+        right = F.broadcast(right)
+    return left.join(right, match, how).drop(*[f"__{k}" for k in keys])
 
 
 def _cell_text(field: T.StructField) -> Column:
@@ -87,5 +63,5 @@ def fingerprint(df: DataFrame, keys: Sequence[str]) -> Column:
 
 def group_keys(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     """Grouping columns: the keys themselves, or their fingerprint where whole texts would be shuffled."""
-    wide = any(isinstance(df.schema[k].dataType, T.StringType) for k in keys) and len(keys) > 1
+    wide = any(isinstance(df.schema[k].dataType, T.StringType) for k in keys)
     return [fingerprint(df, keys).alias("__key")] if wide else [F.col(k) for k in keys]

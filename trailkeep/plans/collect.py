@@ -37,7 +37,10 @@ class Collection(NamedTuple):
 def finalize_records(candidates: DataFrame, id_format: str) -> DataFrame:
     """Clean text, one row per (source, name, description), sorted, numbered."""
     tidy = candidates.withColumns({c: clean_space(F.col(c)) for c in text_columns(candidates)})
-    unique = dedup_keep_first(tidy, ["source_url", "project_name", "description"], "unit_no")
+    key = ["source_url", "project_name", "description"]
+    # Units of two saved copies of a page may tie: their other columns then decide which comes first.
+    others = [c for c in tidy.columns if c not in key and c != "unit_no"]
+    unique = dedup_keep_first(tidy, key, ["unit_no", *others])
     # The description settles the order of records that agree in date, source and name.
     order = [*RECORD_ORDER, "description"]
     return assign_ids(unique.drop("unit_no"), order, id_format, "project_id").select(*PROJECT_COLUMNS)
@@ -72,7 +75,8 @@ def build_reviewed(decisions: DataFrame, posts: DataFrame, id_prefix: str = "REC
         F.lit(funding_source).alias("funding_source"), F.col("amount").alias("funding_amount_zmw"), "status",
         "date_reported", F.col("summary").alias("description"), "source_url",
     )
-    order = [*RECORD_ORDER, "description"]
+    first = [*RECORD_ORDER, "description"]
+    order = [*first, *[c for c in reviewed.columns if c not in first]]
     return assign_ids(reviewed, order, f"{id_prefix}%03d", "project_id").select(*PROJECT_COLUMNS)
 
 
