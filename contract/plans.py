@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract.base import (
-    WORD, WS, q, query, sql_any, sql_body, sql_clean_space, sql_collapse, sql_distinct_list, sql_strip_plain,
+    WORD, WS, q, query, scratch, sql_any, sql_body, sql_clean_space, sql_collapse, sql_distinct_list, sql_strip_plain,
     sql_word, table,
 )
 from contract.extraction import (
     FACT_ARGS, FACTS_SQL, SQL_PHONE, SQL_SENTENCES, fact_pages, sql_clean_punct, sql_clean_text,
 )
 from contract.profiles import COPIED_EVENTS, copied_events, sql_summary
+from contract.sources import audit_rows, post_files, rounded
 from trailkeep.operators.pages import extract_facts, pages_to_posts, pages_to_records
 from trailkeep.plans import clean as L
-from trailkeep.plans.collect import admit_pages, build_reviewed, collect_contacts, collect_profile, collect_records
+from trailkeep.plans.collect import build_reviewed, collect_contacts, collect_profile, collect_records
+from trailkeep.plans.discovery import discover_urls
+from trailkeep.plans.full_run import Step, full_run
 from trailkeep.plans.summary import master_summary
+from trailkeep.sources.web import read_post_index
 from trailkeep.rules import (
     ACTION_TERMS, BOILERPLATE_PHRASES, CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, SECTOR_TERMS,
     STATUS_DENIED, STATUS_DONE, STATUS_PLANNED, STATUS_RUNNING, SiteRules, census_templates, place_rules,
@@ -115,7 +119,30 @@ def collected_records(spark, sf):
     FROM pages WHERE NOT regexp_matches(url, '^https?://(www[.])?blog[.]tionsh[.]example[.]net([/?#]|$)') OR contains(url, '/es/')""")
 def rejected_pages(spark, sf):
     pages = table(spark, sf, "pages").withColumn("html", F.when(~F.contains("url", F.lit("/es/")), F.col("html")))
-    return admit_pages(pages, RULES)[1]
+    return collect_records(pages, RULES).rejects
+
+
+@query("l1_collect_records_posts", f"""
+    WITH {PROJECT_PAGES.replace("FROM pages)", "FROM pages WHERE regexp_matches(url, '^https?://(www[.])?blog[.]tionsh[.]example[.]net([/?#]|$)'))")}, {sql_body('src', 'Town Site')}
+    SELECT title, date, body_text, url FROM bodies""")
+def collected_posts(spark, sf):
+    return collect_records(project_pages(spark, sf), RULES).posts
+
+
+@query("l1_discover_urls", """
+    WITH p AS (SELECT conv_id, turn, 'https://' || CASE WHEN conv_id % 2 = 0 THEN 'posts' ELSE 'other' END || '.example.org/?p=' || (conv_id * 1000 + turn) AS url FROM conversations
+               WHERE text IS NOT NULL),
+    f AS (SELECT url, 'seed' AS found_in FROM p WHERE turn = 1 UNION ALL SELECT url, 'post index' FROM p WHERE turn % 2 = 1)
+    SELECT url, max(found_in) AS found_in FROM f WHERE contains(url, '//posts.example.org/') GROUP BY url""")
+def discovered_urls(spark, sf):
+    talk = table(spark, sf, "conversations").filter("text IS NOT NULL")
+    number = F.col("conv_id") * 1000 + F.col("turn")
+    link = F.concat(F.lit("https://"), F.when(F.col("conv_id") % 2 == 0, "posts").otherwise("other"), F.lit(".example.org/?p="), number)
+    text = F.concat("text", F.when(F.col("turn") % 2 == 1, " The CDF pays for construction of a road.").otherwise(""))
+    index = read_post_index(spark, post_files(spark, talk.select(number.alias("number"), "turn", link.alias("link"), "role", text.alias("text"))), multi_line=False)
+    seeds = talk.filter("turn = 1").select(link.alias("url"))
+    pages = table(spark, sf, "pages").select("url", "html")
+    return discover_urls(SiteRules("https://posts.example.org"), seeds, index, pages, pages)
 
 
 # --- cleaning -------------------------------------------------------------------------------------
@@ -161,6 +188,38 @@ def project_review(spark, sf):
     return L.clean_projects(project_table(spark, sf)).review.select("project_id", "source_url", "project_name")
 
 
+RAW_SQL = f"""
+    raw AS (SELECT o_orderkey + c.shift AS project_id, 'Project ' || o_custkey AS project_name,
+        CASE o_orderpriority {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in SECTORS.items())} END AS sector,
+        CASE o_orderstatus WHEN 'F' THEN ' Completed' || chr(9) WHEN 'O' THEN 'ONGOING' END AS status,
+        CASE WHEN o_orderpriority <> '5-LOW' THEN round(o_totalprice, 2)::VARCHAR END AS funding_amount_zmw, strftime(o_orderdate, '%Y-%m-%d') AS date_reported,
+        '<p>The School of ' || o_custkey || ' is not  Completed at 2.9%, ' || o_orderpriority || '</p>' AS description,
+        'https://town.example.org/?p=' || (o_custkey % 500) AS source_url, 'old' AS description_clean
+        FROM orders JOIN (VALUES (0), (1000000000)) c(shift) ON c.shift = 0 OR o_orderstatus = 'O')"""
+RAW_TYPES = {c: "string" for c in ("project_name", "sector", "status", "funding_amount_zmw", "date_reported", "description", "source_url", "description_clean")}
+FENCE_SQL = "quantile_cont(funding_amount_zmw, {0}) {1} 1.5 * (quantile_cont(funding_amount_zmw, 0.75) - quantile_cont(funding_amount_zmw, 0.25))"
+
+
+@query("l2_full_run", f"""
+    WITH {PROJECT_SQL}, {RAW_SQL},
+    clean AS (SELECT min(project_id) AS project_id, * EXCLUDE project_id, {sql_clean_text('description')} AS description_clean FROM base GROUP BY ALL),
+    twins AS (SELECT * FROM clean QUALIFY count(*) OVER (PARTITION BY source_url, project_name) > 1)
+    SELECT 'projects' AS file, * FROM ({' UNION ALL '.join([
+        *audit_rows('before', 'raw', {'project_id': 'bigint', **RAW_TYPES}),
+        *audit_rows('after', 'clean', {'project_id': 'bigint', **RAW_TYPES, 'funding_amount_zmw': 'double', 'date_reported': 'date'}),
+        "SELECT 'decision', 'input_rows', count(*)::VARCHAR FROM raw",
+        "SELECT 'decision', 'duplicates_removed', ((SELECT count(*) FROM raw) - count(*))::VARCHAR FROM clean",
+        "SELECT 'decision', 'output_rows', count(*)::VARCHAR FROM clean",
+        "SELECT 'decision', 'repeated_url_rows', (count(*) - count(DISTINCT source_url))::VARCHAR FROM raw",
+        "SELECT 'decision', 'near_duplicate_rows', count(*)::VARCHAR FROM twins",
+        "SELECT 'decision', 'outliers', '0'",
+        f"SELECT 'fence', 'lower funding_amount_zmw', round({FENCE_SQL.format(0.25, '-')}, 4)::DECIMAL(38, 4)::VARCHAR FROM clean",
+        f"SELECT 'fence', 'upper funding_amount_zmw', round({FENCE_SQL.format(0.75, '+')}, 4)::DECIMAL(38, 4)::VARCHAR FROM clean"])})""")
+def whole_run(spark, sf):
+    folder = scratch(spark)
+    return rounded(full_run({"projects": Step(project_table(spark, sf), L.clean_projects, f"{folder}/projects")}, folder))
+
+
 @query("l2_clean_posts", f"""
     SELECT source AS title, DATE '2024-02-01' + (doc_id % 28)::INTEGER AS date, md5(text) AS body_md5, 'https://d.example.org/' || doc_id AS url,
            md5({sql_clean_text('text')}) AS clean_md5 FROM documents""")

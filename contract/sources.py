@@ -32,23 +32,29 @@ def page_table(spark, sf):
         "url", F.length("html").alias("html_length"), F.md5("html").alias("html_md5"))
 
 
+def post_files(spark, posts) -> str:
+    """A post index in JSON lines of (number, turn, link, role, text)."""
+    path = scratch(spark)
+    day = F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("turn") % 28).cast("int"))
+    post = F.struct(
+        F.col("number").alias("id"), F.concat(day.cast("string"), F.lit("T08:00:00")).alias("date"), "link",
+        F.struct(F.concat(F.lit("<b>"), "role", F.lit("</b>")).alias("rendered")).alias("title"),
+        F.struct(F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("rendered")).alias("content"),
+    )
+    posts.select(F.to_json(F.array(post)).alias("value")).write.text(path)
+    return path
+
+
 @query("s3_read_post_index", f"""
     SELECT conv_id * 1000 + turn AS id, DATE '2024-01-01' + (turn % 28)::INTEGER AS date,
            'https://posts.example.org/?p=' || (conv_id * 1000 + turn) AS link, role AS title,
            {sql_strip_html("'<p>' || text || '</p>'")} AS body
     FROM conversations""")
 def post_index(spark, sf):
-    path = scratch(spark)
     number = F.col("conv_id") * 1000 + F.col("turn")
-    day = F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("turn") % 28).cast("int"))
-    post = F.struct(
-        number.alias("id"), F.concat(day.cast("string"), F.lit("T08:00:00")).alias("date"),
-        F.concat(F.lit("https://posts.example.org/?p="), number).alias("link"),
-        F.struct(F.concat(F.lit("<b>"), "role", F.lit("</b>")).alias("rendered")).alias("title"),
-        F.struct(F.concat(F.lit("<p>"), "text", F.lit("</p>")).alias("rendered")).alias("content"),
-    )
-    table(spark, sf, "conversations").select(F.to_json(F.array(post)).alias("value")).write.text(path)
-    return read_post_index(spark, path, multi_line=False)
+    posts = table(spark, sf, "conversations").select(
+        number.alias("number"), "turn", F.concat(F.lit("https://posts.example.org/?p="), number).alias("link"), "role", "text")
+    return read_post_index(spark, post_files(spark, posts), multi_line=False)
 
 
 @query("s4_read_sitemap", """
@@ -131,21 +137,38 @@ def quarantined_documents(spark, sf):
     return rejects.select("doc_id", "error").unionByName(good.select("doc_id", F.lit(None).cast("string").alias("error")))
 
 
+def audit_rows(stage: str, relation: str, types: dict[str, str]) -> list[str]:
+    """The audit of one table; statistics of numbers and dates (as days) with four decimals."""
+    rows = [f"SELECT '{stage}' AS stage, 'rows' AS metric, count(*)::VARCHAR AS value FROM {relation} t", f"SELECT '{stage}', 'columns', '{len(types)}'"]
+    for c, kind in types.items():
+        rows.append(f"SELECT '{stage}', 'missing {c}', (count(*) - count({c}))::VARCHAR FROM {relation} t")
+        rows.append(f"SELECT '{stage}', 'type {c}', '{kind}'")
+        if kind == "string":
+            rows.append(f"SELECT '{stage}', 'unique {c}', count(DISTINCT {c})::VARCHAR FROM {relation} t")
+            top = f"(SELECT {c} AS v, count(*) AS n FROM {relation} t WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 1)"
+            rows.append(f"SELECT '{stage}', 'top {c}', v FROM {top} t")
+            rows.append(f"SELECT '{stage}', 'freq {c}', n::VARCHAR FROM {top} t")
+        else:
+            x = f"({c} - DATE '1970-01-01')::DOUBLE" if kind == "date" else f"{c}::DOUBLE"
+            asked = {"mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})", "max": f"max({x})",
+                     **{f"q{i}": f"quantile_cont({x}, {i / 4})" for i in (1, 2, 3)}}
+            rows += [f"SELECT '{stage}', '{m} {c}', round({v}, 4)::DECIMAL(38, 4)::VARCHAR FROM {relation} t" for m, v in asked.items()]
+    return rows
+
+
+def rounded(audit):
+    """The audit with its statistics of numbers given with four decimals."""
+    numbers = F.col("metric").rlike("^(mean|std|min|max|q[123]|lower|upper) ")
+    text = F.round(F.col("value").try_cast("double"), 4).cast("decimal(38,4)").cast("string")
+    return audit.withColumn("value", F.when(numbers, text).otherwise(F.col("value")))
+
+
 def _audit_sql() -> str:
     frames = {"before": "customer", "after": "(SELECT c_custkey, c_name, c_nationkey, c_acctbal, lower(trim(c_mktsegment)) AS c_mktsegment FROM customer WHERE c_acctbal > 0)"}
     types = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
     rows = []
     for stage, relation in frames.items():
-        rows.append(f"SELECT '{stage}' AS stage, 'rows' AS metric, count(*)::VARCHAR AS value FROM {relation} t")
-        rows.append(f"SELECT '{stage}', 'columns', '5'")
-        for c, kind in types.items():
-            rows.append(f"SELECT '{stage}', 'missing {c}', (count(*) - count({c}))::VARCHAR FROM {relation} t")
-            rows.append(f"SELECT '{stage}', 'type {c}', '{kind}'")
-            if kind == "string":
-                rows.append(f"SELECT '{stage}', 'unique {c}', count(DISTINCT {c})::VARCHAR FROM {relation} t")
-                top = f"(SELECT {c} AS v, count(*) AS n FROM {relation} t GROUP BY 1 ORDER BY n DESC, v LIMIT 1)"
-                rows.append(f"SELECT '{stage}', 'top {c}', v FROM {top} t")
-                rows.append(f"SELECT '{stage}', 'freq {c}', n::VARCHAR FROM {top} t")
+        rows += audit_rows(stage, relation, types)
     rows.append("SELECT 'decision', 'rows removed', count(*)::VARCHAR FROM customer WHERE c_acctbal <= 0")
     return "SELECT 'customer' AS file, * FROM (" + " UNION ALL ".join(rows) + ")"
 
@@ -154,4 +177,4 @@ def _audit_sql() -> str:
 def customer_audit(spark, sf):
     before = table(spark, sf, "customer")
     after = standardize_categories(before.filter("c_acctbal > 0"), ["c_mktsegment", "status"])
-    return audit_report(before, after, {"rows removed": before.filter("c_acctbal <= 0").count()}, "customer")
+    return rounded(audit_report(before, after, {"rows removed": before.filter("c_acctbal <= 0").count()}, "customer"))

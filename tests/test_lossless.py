@@ -3,12 +3,15 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailkeep.functions.text import case_fold
 from trailkeep.operators.dedup import duplicate_counts
 from trailkeep.operators.profile import describe_all
 from trailkeep.operators.skew import fingerprint
-from trailkeep.sources.delimited import export_text
+from trailkeep.operators.quality import GateError
+from trailkeep.sources import delimited
+from trailkeep.sources.delimited import export_text, read_delimited, write_if_changed
 from trailkeep.sources.storage import replace_folder
 
 
@@ -49,3 +52,38 @@ def test_a_failed_replacement_leaves_the_old_table(spark, tmp_path):
     spark.range(5).write.parquet(str(tmp_path / "new"))
     replace_folder(spark, str(tmp_path / "new"), target)
     assert spark.read.parquet(target).count() == 5 and os.listdir(tmp_path) == ["table"]
+
+
+def test_rows_of_the_wrong_length_are_not_cut(spark, tmp_path):
+    (tmp_path / "t.psv").write_text("a|b|c\n1|2|3\n1|2|3|4\n5|6\n")
+    schema, path = T.StructType([T.StructField(c, T.StringType()) for c in "abc"]), str(tmp_path / "t.psv")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_delimited(spark, path, schema).select("a").collect()
+    kept = read_delimited(spark, path, schema, broken="line")
+    assert [r.line for r in kept.orderBy("a", "line").collect()] == [None, "1|2|3|4", "5|6"]
+
+
+def test_cells_that_do_not_parse_stop_the_read(spark, tmp_path):
+    (tmp_path / "t.psv").write_text("a|v\nx|1.5\ny|bad amount\nz|NA\n")
+    schema, path = T.StructType([T.StructField("a", T.StringType()), T.StructField("v", T.DoubleType())]), str(tmp_path / "t.psv")
+    with pytest.raises(Exception, match="v is no double: bad amount"):
+        read_delimited(spark, path, schema, strict=True).collect()
+    assert [r.v for r in read_delimited(spark, path, schema, cast=False).orderBy("a").collect()] == ["1.5", "bad amount", None]
+
+
+def test_line_breaks_survive_an_export(spark, tmp_path):
+    texts = ["one\ntwo", "one\rtwo", "one\r\ntwo", 'a "b" | c', "\\", "", " x "]
+    rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, t string")
+    path = str(tmp_path / "out")
+    assert write_if_changed(rows, path) and not write_if_changed(rows, path)
+    assert write_if_changed(rows.limit(3), path)
+
+
+def test_an_export_that_does_not_read_back_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    write_if_changed(spark.createDataFrame([("1", "old")], "id string, t string"), path)
+    good = delimited.write_delimited
+    monkeypatch.setattr(delimited, "write_delimited", lambda df, p, mode="overwrite": good(df.limit(0), p, mode))
+    with pytest.raises(GateError):
+        write_if_changed(spark.createDataFrame([("1", "new")], "id string, t string"), path)
+    assert [r.t for r in read_delimited(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in ("id", "t")])).collect()] == ["old"]

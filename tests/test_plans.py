@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 from trailkeep.operators.quality import GateError
 from trailkeep.plans import clean as L
 from trailkeep.plans.collect import build_reviewed, collect_contacts, collect_profile
+from trailkeep.plans.discovery import discover_urls
+from trailkeep.plans.full_run import Step, full_run
 from trailkeep.plans.summary import master_summary
-from trailkeep.rules import CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, census_templates
+from trailkeep.sources.delimited import read_delimited, write_delimited
+from trailkeep.rules import CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, SiteRules, census_templates
 
 URL = "https://town.example.org/?p=1"
 
@@ -159,3 +162,41 @@ def test_master_summary(spark):
     frame = spark.createDataFrame([(float(i), "x") for i in range(10)] + [(500.0, "y"), (500.0, "y")], "v double, s string")
     rows = {r.table: r for r in master_summary({"a": (frame, ["v"]), "b": (frame, [])}).collect()}
     assert (rows["a"].duplicates_removed, rows["a"].outliers, rows["b"].outliers) == (1, 1, None)
+
+
+def test_whole_run_replays_its_first_input(spark, tmp_path):
+    many = [{"project_id": f"A-{i:03d}", "project_name": f"P{i}", "funding_amount_zmw": str(1000 + i)} for i in range(20)]
+    folder, target = str(tmp_path / "run"), str(tmp_path / "out")
+    first = full_run({"projects": Step(projects(spark, *many), L.clean_projects, target)}, folder)
+    found = {(r.stage, r.metric): r.value for r in first.collect()}
+    assert found["decision", "output_rows"] == "20" and found["after", "max funding_amount_zmw"] == "1019.0"
+    assert {m for s, m in found if s == "fence"} == {"lower funding_amount_zmw", "upper funding_amount_zmw"}
+    again = full_run({"projects": Step(projects(spark, *many[:3]), L.clean_projects, target)}, folder)
+    assert {(r.stage, r.metric): r.value for r in again.collect()} == found
+    odd = projects(spark, *many, {"project_id": "A-100", "funding_amount_zmw": "9e9"})
+    with pytest.raises(GateError):
+        full_run({"a": Step(projects(spark, *many), L.clean_projects, str(tmp_path / "a")), "b": Step(odd, L.clean_projects, str(tmp_path / "b"))}, folder + "2")
+    assert not (tmp_path / "a").exists() and not (tmp_path / "b").exists()
+
+
+def test_discovery_falls_back_in_order(spark):
+    rules = SiteRules("https://town.example.org", slug_words=("cdf",))
+    links = lambda *urls: spark.createDataFrame([(u,) for u in urls], "url string")
+    posts = spark.createDataFrame([("https://town.example.org/a", "CDF", "construction of a road"), ("https://town.example.org/b", "News", "none"),
+                                   ("https://else.example.org/c", "CDF", "construction")], "link string, title string, body string")
+    pages = spark.createDataFrame([("https://town.example.org/news", '<a href="/cdf-school">x</a>')], "url string, html string")
+    read = lambda *a: sorted(tuple(r) for r in discover_urls(rules, *a).collect())
+    site, nothing = links("https://town.example.org/cdf-map"), links("", None)
+    seeds = links("https://town.example.org/a", "https://town.example.org/s", None, "https://else.example.org/")
+    assert read(seeds, posts, site, pages) == [("https://town.example.org/a", "seed"), ("https://town.example.org/s", "seed")]
+    assert read(None, posts, site, pages) == [("https://town.example.org/a", "post index")]
+    assert read(nothing, posts.limit(0), site, pages) == [("https://town.example.org/cdf-map", "site map")]
+    assert read(nothing, posts.limit(0), nothing, pages) == [("https://town.example.org/cdf-school", "listing")]
+    assert read(nothing, None, None, None) == []
+
+
+def test_bad_cells_of_a_file_reach_the_gate(spark, tmp_path):
+    table = projects(spark, {"funding_amount_zmw": "bad amount"})
+    write_delimited(table, str(tmp_path / "t"))
+    with pytest.raises(GateError, match="amount is a number"):
+        L.clean_projects(read_delimited(spark, str(tmp_path / "t"), table.schema, cast=False))

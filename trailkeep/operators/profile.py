@@ -14,6 +14,9 @@ from trailkeep.operators.skew import fingerprint, lookup_join
 from trailkeep.session import checkpointed
 
 
+STATISTICS = ("mean", "std", "min", "q1", "q2", "q3", "max")
+
+
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"))
 
@@ -26,6 +29,12 @@ def text_like(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BooleanType))]
 
 
+def describable(df: DataFrame) -> list[str]:
+    """Columns of a kind that ``describe_all`` knows."""
+    kinds = (T.StringType, T.BooleanType, T.NumericType, T.DateType, T.TimestampType)
+    return [f.name for f in df.schema if isinstance(f.dataType, kinds)]
+
+
 def _per_column(df: DataFrame, metric: dict[str, Column], name: str) -> DataFrame:
     """One aggregation, one output row per column."""
     cells = [F.struct(F.lit(c).alias("column"), m.cast("bigint").alias(name)).alias(f"m{i}")
@@ -88,7 +97,7 @@ def describe_all(df: DataFrame) -> DataFrame:
             F.min(F.struct((-F.col("n")).alias("n"), F.col("value").alias("value"))).alias("best"),
         ).select(
             "column", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.n")).alias("freq"),
-            *[number.alias(m) for m in ("mean", "std", "min", "q1", "q2", "q3", "max")],
+            *[number.alias(m) for m in STATISTICS],
         ))
     if numeric:
         row = df.agg(*[
@@ -101,7 +110,7 @@ def describe_all(df: DataFrame) -> DataFrame:
         quarts = exact_quartiles(df, numeric).drop("n")
         parts.append(lookup_join(row, quarts, ["column"], "left").select(
             "column", "count", F.lit(None).cast("bigint").alias("unique"), F.lit(None).cast("string").alias("top"),
-            F.lit(None).cast("bigint").alias("freq"), "mean", "std", "min", "q1", "q2", "q3", "max",
+            F.lit(None).cast("bigint").alias("freq"), *STATISTICS,
         ))
     return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
 

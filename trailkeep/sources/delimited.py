@@ -12,30 +12,43 @@ from trailkeep.sources.storage import is_complete, replace_folder
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, na: str = "default",
-                   cast: bool = True, multi_line: bool = False) -> DataFrame:
+                   cast: bool = True, multi_line: bool = False, broken: str | None = None,
+                   strict: bool = False) -> DataFrame:
     """A pipe-delimited table with a header that must name the columns of ``schema``.
 
-    Read as text, then cast; a cell that does not parse becomes missing, so gate casts of foreign
-    data with ``columns.to_number_checked`` on a text column. ``na="default"`` takes the usual tokens
-    for missing, ``na="none"`` keeps every cell as text and blanks as ``''``. ``multi_line`` allows
-    line breaks inside quoted cells, at the price of one task per file.
+    A row with more or fewer cells than the header stops the read; with ``broken``, a column of that name holds
+    its text instead (null for sound rows), for ``quality.quarantine``. Cells are read as text, then cast: one
+    that does not parse becomes missing, or stops the read with ``strict``; ``cast=False`` keeps the texts for
+    plans that cast under a gate. ``na="default"`` takes the usual tokens for missing, ``na="none"`` keeps every cell as text and blanks as
+    ``''``. ``multi_line`` allows line breaks inside quoted cells, at the price of one task per file.
     """
     if na not in ("default", "none"):
         raise ValueError(f"unknown policy: {na}")
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    names = [f.name for f in schema]
+    aside = [broken] if broken else []
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, *aside]])
+    # Without pruning, a query for a few columns still counts the cells of every row.
+    policy = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken} if broken else {"mode": "FAILFAST"}
     raw = (
         spark.read.schema(as_text)
-        .options(header=True, sep="|", quote='"', escape='"', enforceSchema=False, encoding="UTF-8",
-                 multiLine=multi_line, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .options(header=True, sep="|", quote='"', escape='"', enforceSchema=False, encoding="UTF-8", columnPruning=False,
+                 multiLine=multi_line, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **policy)
         .csv(path)
     )
     if na == "none":
-        return raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in raw.columns])
-    cells = [(f, na_to_null(F.col(f.name))) for f in schema]
-    return raw.select(*[
-        (c.try_cast(f.dataType) if cast and not isinstance(f.dataType, T.StringType) else c).alias(f.name)
-        for f, c in cells
-    ])
+        return raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names], *aside)
+    sound = F.col(broken).isNull() if broken else F.lit(True)
+
+    def typed(f: T.StructField) -> Column:
+        cell = na_to_null(F.col(f.name))
+        if not cast or isinstance(f.dataType, T.StringType):
+            return cell.alias(f.name)
+        if not strict:
+            return cell.try_cast(f.dataType).alias(f.name)
+        message = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), cell)
+        return F.coalesce(cell.try_cast(f.dataType), F.when(cell.isNotNull() & sound, F.raise_error(message))).alias(f.name)
+
+    return raw.select(*[typed(f) for f in schema], *aside)
 
 
 def _plain(col: Column) -> Column:
@@ -80,7 +93,7 @@ def write_delimited(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def _read_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return read_delimited(spark, path, schema, na="none")
+    return read_delimited(spark, path, schema, na="none", multi_line=True)
 
 
 def content_digest(df: DataFrame) -> tuple:
@@ -99,7 +112,8 @@ def content_digest(df: DataFrame) -> tuple:
 def write_if_changed(df: DataFrame, path: str) -> bool:
     """Write unless the same content lies there already; True if written.
 
-    The new export is staged beside the target first, so ``df`` may have been read from it.
+    The new export is staged beside the target, so ``df`` may have been read from it, and compared with ``df``
+    cell by cell: only an equal one takes the target's place.
     """
     spark = df.sparkSession
     if is_complete(spark, path):
@@ -108,6 +122,7 @@ def write_if_changed(df: DataFrame, path: str) -> bool:
             return False
     staged = path.rstrip("/") + ".staged"
     write_delimited(df, staged)
+    require_round_trip(df, staged)
     replace_folder(spark, staged, path)
     return True
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailkeep.operators.profile import describe_all, is_missing, text_like
+from trailkeep.operators.profile import STATISTICS, describable, describe_all, is_missing
 from trailkeep.sources.storage import is_complete
 
 
@@ -23,7 +23,7 @@ def snapshot_once(df: DataFrame, path: str) -> DataFrame:
 
 
 def _metrics(frame: DataFrame, stage: str, file: str) -> DataFrame:
-    """One aggregation for sizes and missing cells, one shuffle for the values of text columns."""
+    """One aggregation for sizes and missing cells, then the statistics of every column that has some."""
     def entry(metric: str, value: Column) -> Column:
         return F.struct(F.lit(metric).alias("metric"), value.cast("string").alias("value"))
 
@@ -32,13 +32,14 @@ def _metrics(frame: DataFrame, stage: str, file: str) -> DataFrame:
         cells += [entry(f"missing {f.name}", F.count_if(is_missing(f))), entry(f"type {f.name}", F.lit(f.dataType.simpleString()))]
     named = [c.alias(f"m{i}") for i, c in enumerate(cells)]
     report = frame.agg(*named).select(F.inline(F.array(*[f"m{i}" for i in range(len(named))])))
-    text = text_like(frame)
-    if text:
+    kinds = describable(frame)
+    if kinds:
         labelled = [
             F.struct(F.concat(F.lit(f"{m} "), "column").alias("metric"), F.col(m).cast("string").alias("value"))
-            for m in ("unique", "top", "freq")
+            for m in ("unique", "top", "freq", *STATISTICS)
         ]
-        report = report.unionByName(describe_all(frame.select(*text)).select(F.inline(F.array(*labelled))))
+        described = describe_all(frame.select(*kinds)).select(F.inline(F.array(*labelled)))
+        report = report.unionByName(described.filter(F.col("value").isNotNull()))
     return report.select(F.lit(file).alias("file"), F.lit(stage).alias("stage"), "metric", "value")
 
 
