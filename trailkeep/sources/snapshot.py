@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailkeep.operators.profile import STATISTICS, describable, describe_all, is_missing
+from trailkeep.session import shared_folder
 from trailkeep.sources.storage import is_complete
 
 
@@ -47,7 +49,10 @@ def audit_report(before: DataFrame, after: DataFrame, decisions: Mapping[str, ob
                  file: str = "table") -> DataFrame:
     """(file, stage, metric, value): profiles before and after, and the decisions taken between."""
     spark = before.sparkSession
-    report = _metrics(before, "before", file).unionByName(_metrics(after, "after", file))
+    shared_folder(spark)  # settled before the threads ask for it
+    with ThreadPoolExecutor(2) as pool:
+        sides = list(pool.map(lambda side: _metrics(*side, file), [(before, "before"), (after, "after")]))
+    report = sides[0].unionByName(sides[1])
     if decisions:
         rows = [(file, "decision", str(k), None if v is None else str(v)) for k, v in decisions.items()]
         report = report.unionByName(spark.createDataFrame(rows, "file string, stage string, metric string, value string"))
