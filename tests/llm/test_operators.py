@@ -277,6 +277,17 @@ def test_main_text_of_pages(spark):
     assert all(r.n_chars == len(r.text) for r in got.values()) and got[7].n_chars == 199_999
 
 
+def test_main_text_joins_containers_and_weighs_them():
+    long = [f"{w} " * 40 + w for w in ("one", "two", "three", "four")]
+    p = lambda *texts: "".join(f"<p>{t}</p>" for t in texts)
+    read = lambda html: html_text.main_text(html).split("\n\n")
+    assert read(f"<article>{p(long[0], long[1])}</article><article>{p(long[2], 'End.')}</article>") == [long[0], long[1], long[2], "End."]
+    assert read(f"<main>{p(long[0])}<article>{p(long[1], long[2])}</article>{p(long[3], 'End.')}</main>") == [*long, "End."]
+    teaser = "<article><a href=x><b>Read</b> <i>this</i></a></article>"
+    assert read(f"{teaser}<div>{p(*long)}</div>") == long
+    assert read(f"<main>{p(*long)}<section>{teaser}</section></main>") == long
+
+
 def test_templates_catch_other_values(spark):
     item = "A train leaves Boston at 60 miles per hour and Alice walks 5 km to meet the same train before noon today"
     other = item.replace("Boston", "Denver").replace("60", "75").replace("Alice", "Mary").replace("5 km", "9 miles")

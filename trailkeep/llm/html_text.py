@@ -2,15 +2,15 @@
 
 The standard library's parser streams a page into lines (one per block element) with the number of tags in
 them. Each line's text-to-tag ratio is smoothed by a Gaussian; lines over the page's threshold form clusters.
-The article, main or run of lines that holds the heaviest clusters is the content; lines in menus, adverts and
-other furniture have ratio zero and are left out of it.
+If articles and mains together hold most of the clustered text, the content is theirs: each one with clusters of its
+own gives all its lines, the others what lies between clusters. Otherwise it is the run from the page's first
+cluster to its last. Lines in menus, adverts and other furniture have ratio zero and are left out.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -48,7 +48,8 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, bool, int, bool]] = []
         self.open: list[tuple[str, bool, int]] = []
         self.parts: list[str] = []
-        self.tags = self.containers = 0
+        self.tags = 0
+        self.outermost = [0]
 
     def _state(self) -> tuple[bool, int]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
@@ -97,8 +98,8 @@ class _Lines(HTMLParser):
             return
         furniture, container = self._state()
         if tag in ("article", "main") and not furniture:
-            self.containers += 1
-            inner, container = furniture, self.containers
+            self.outermost.append(self.outermost[container] or len(self.outermost))
+            inner, container = furniture, len(self.outermost) - 1
         else:
             inner = furniture or self._marked(tag, attributes, container)
         if inner and not furniture:
@@ -140,6 +141,23 @@ def _smoothed(ratios: list[float]) -> list[float]:
     return out
 
 
+def _of_containers(lines: list, at: list[int], outermost: list[int]) -> list[int]:
+    """The lines of containers that hold some of the clustered lines ``at``, and those between such lines of one outermost container."""
+    holding = {lines[i][3] for i in at}
+    first: dict[int, int] = {}
+    last: dict[int, int] = {}
+    for i in at:
+        root = outermost[lines[i][3]]
+        first.setdefault(root, i)
+        last[root] = i
+    picked = []
+    for i, line in enumerate(lines):
+        root = outermost[line[3]]
+        if not line[2] and root in first and (line[3] in holding or first[root] <= i <= last[root]):
+            picked.append(i)
+    return picked
+
+
 def main_text(html: str | None) -> str:
     """The article's blocks joined by empty lines; empty if there is none."""
     parser = _Lines()
@@ -152,19 +170,17 @@ def main_text(html: str | None) -> str:
     mean = sum(smooth) / len(smooth)
     threshold = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
     chosen = [not line[2] and s >= threshold for line, s in zip(lines, smooth)]
-    weight: dict[int, list[int]] = defaultdict(lambda: [0, 0])
-    for line, good in zip(lines, chosen):
-        if not line[2]:
-            weight[line[3]][0] += good * len(line[0])
-            weight[line[3]][1] += len(line[0])
-    best = max(weight, key=lambda c: (c > 0, *weight[c]))
-    if best:
-        titled = any(line[3] == best and line[4] for line in lines)
-        first = next(i for i, line in enumerate(lines) if line[3] == best and not line[2])
-        title = [] if titled else [i for i, line in enumerate(lines[:first]) if line[4] and not line[2]][-1:]
-        picked = title + [i for i, line in enumerate(lines) if line[3] == best and not line[2]]
+    if not any(chosen):
+        chosen = [not line[2] for line in lines]
+    # smoothing carries weight over a container's border, so its own lines must reach the threshold once
+    own = {line[3] for line, ratio in zip(lines, ratios) if not line[2] and ratio >= threshold} | {0}
+    at = [i for i, good in enumerate(chosen) if good and lines[i][3] in own] or [i for i, good in enumerate(chosen) if good]
+    inside = sum(len(lines[i][0]) for i in at if lines[i][3])
+    if inside and 2 * inside >= sum(len(lines[i][0]) for i in at):
+        picked = _of_containers(lines, [i for i in at if lines[i][3]], parser.outermost)
+        titled = any(lines[i][4] for i in picked)
+        picked = ([] if titled else [i for i, line in enumerate(lines[:picked[0]]) if line[4] and not line[2]][-1:]) + picked
     else:
-        at = [i for i, good in enumerate(chosen) if good] or [i for i, line in enumerate(lines) if not line[2]]
         low = at[0]
         while low and lines[low - 1][4] and not lines[low - 1][2]:
             low -= 1
