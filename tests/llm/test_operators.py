@@ -302,6 +302,34 @@ def test_templates_catch_other_values(spark):
     assert left.columns == frame.columns and {r.doc_id for r in left.collect()} == {2, 3, 4, 5, None}
 
 
+def test_items_are_found_at_any_offset_and_with_longer_values(spark):
+    plain = [f"k{chr(97 + i)}" for i in range(20)]
+    slots = "we know that the fast train leaves Boston at noon and then it goes on to a small old town by the sea".split()
+    two = "we know that one train leaves Boston at noon with Alice and then it goes on to the sea".split()
+    bench = [(1, " ".join(plain[:16])), (2, " ".join(plain)), (3, " ".join(slots)), (4, " ".join(two)), (5, "twelve green apples"), (6, "!"),
+             (7, "seventeen big dogs ran over that red fence and nobody saw where those lazy cats went at night")]
+    docs, want = [], set()
+    for at in range(9):
+        lead = "lead " * at
+        for item, words in ((1, plain[:16]), (2, plain)):
+            changed = [w if i != len(words) // 2 else "other" for i, w in enumerate(words)]
+            docs.append((10 * at + item, lead + " ".join(changed) + " tail"))
+        docs.append((10 * at + 3, lead + " ".join(slots).replace("Boston", "New York") + " tail"))
+        docs.append((10 * at + 4, lead + " ".join(two).replace("Boston", "New York").replace("Alice", "Mary Ann Lee") + " tail"))
+        docs.append((10 * at + 5, lead + "twelve green apples, tail"))
+        docs.append((10 * at + 7, lead + "seventeen big dogs ran over that red fence and then one more nobody saw where those lazy cats went at night"))
+        want |= {(10 * at + k, k) for k in (1, 2, 3, 4, 5, 7)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.find(frame, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    pairs = {(r.doc_id, r.item_id) for r in got}
+    assert {p for p in pairs if p[0] % 10 == p[1]} == want and len([r for r in got if r.doc_id % 10 == r.item_id]) == len(want)
+    assert pairs - want <= {(d, i) for d, _ in docs for i in (1, 2) if d % 10 in (1, 2)}
+    assert all(r.start == r.doc_id // 10 and not (r.exact and r.item_id in (3, 4)) for r in got)
+    asked = spark.createDataFrame([(1, "they met in New York to see the old bridge over the wide river before dark")], "item_id long, text string")
+    more = spark.createDataFrame([(1, "so Mary Ann Lee said they met in New York to see the old bridge over the wide river before dark")], "doc_id long, text string")
+    assert [(r.start, r.exact) for r in decontaminate.find(more, asked).collect()] == [(5, True)]
+
+
 @needs_tables
 def test_op8_finds_every_planted_item(spark):
     plain = lambda t: " " + " ".join(re.sub(r"[^\w\s]", "", (t or "").lower()).split()) + " "

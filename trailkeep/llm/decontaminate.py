@@ -1,22 +1,31 @@
 """Benchmark decontamination by template windows, DataFrame functions only.
 
-Texts become templates: words without punctuation, with typed placeholders for numbers, units and names. Windows
-of benchmark templates are looked up among non-overlapping windows of the documents' templates; a hit fixes an
-alignment, which is then compared word by word. Equal values of the item's slots must stand for equal values in
+Texts become templates: words without punctuation, with typed placeholders for numbers, units and names; a run of
+names or of numbers is one placeholder. Windows of benchmark templates are looked up at every word of the documents'
+templates; the first hit of a run of agreeing words fixes an alignment, which is then compared word by word, also
+with parts of the item that stand a few words off. Equal values of the item's slots must stand for equal values in
 the document, so a question asked again with other numbers or names is found and a chance likeness is not.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailkeep.llm.common import broadcast_if_small, staged
 
-#: Window widths in words; an item uses the first of which it has 2 * width - 1 words.
+#: Window widths in words; an item uses the first of which it has 2 * width - 1 words, and one of fewer than five its own length.
 WIDTHS = (8, 4, 3)
+SHORT = 4
 #: An alignment counts if at least this share of the item's words agrees, and of its words that are no slots.
 SHARE = 0.5
+#: Parts of an item count if they agree in so many words in a row at most so many words off the alignment.
+RUN, DRIFT = 3, 6
+#: Windows looked up at once: more are broadcast one part after the other.
+KEYS_AT_ONCE = 500_000
+JOINED = "\ue003"
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
 _NAMES = r"(?<=[^.!?:;\s] )\p{Lu}[\p{L}'’-]*"
 _NUMBERS = r"(?<![\p{L}\p{N}])[$€£+-]?\p{Nd}[\p{L}\p{Nd}]*(?:[.,:/]\p{Nd}+)*"
@@ -27,32 +36,30 @@ _UNITS = (
     "cent|cents|euro|euros|usd|eur|percent|degree|degrees|mph|kmh|watt|watts|volt|volts|hz|kb|mb|gb")
 
 
-def _words(text: Column) -> Column:
-    return F.split(F.trim(F.regexp_replace(F.lower(text), rf"[^\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}\s]+", "")), r"\s+")
-
-
-def _plain(text: Column) -> Column:
-    """Text without the placeholders' own characters."""
-    return F.translate(text, NUMBER + UNIT + NAME, "")
+def marked(text: Column) -> Column:
+    """The words of a text in lower case without punctuation; numbers, units and names begin with their placeholder, and a
+    run of names or of numbers is one word."""
+    plain = F.translate(text, NUMBER + UNIT + NAME + JOINED, "")
+    named = F.regexp_replace(plain, f"({_NAMES})", f"{NAME}$1")
+    numbered = F.regexp_replace(named, f"({_NUMBERS})", f"{NUMBER}$1")
+    kept = F.regexp_replace(F.lower(numbered), rf"[^\p{{L}}\p{{N}}{NUMBER}{UNIT}{NAME}\s]+", "")
+    words = F.regexp_replace(F.trim(F.regexp_replace(kept, r"\s+", " ")), f"({NUMBER}[^ ]* )((?:{_UNITS})(?= |$))", f"$1{UNIT}$2")
+    for kind in (NAME, NUMBER):
+        words = F.regexp_replace(words, f"((?<![^ ]){kind}[^ ]*) (?={kind})", f"$1{JOINED}")
+    return words
 
 
-def values(text: Column) -> Column:
-    """The words of a text in lower case without punctuation."""
-    return _words(_plain(text))
+def template(words: Column) -> Column:
+    """The words of a ``marked`` text with bare placeholders; word for word aligned with ``values``."""
+    return F.split(F.regexp_replace(words, f"(?<![^ ])([{NUMBER}{UNIT}{NAME}])[^ ]*", "$1"), " ")
 
 
-def template(text: Column) -> Column:
-    """The same words with placeholders; word for word aligned with ``values``."""
-    named = F.regexp_replace(_plain(text), _NAMES, NAME)
-    numbered = F.regexp_replace(named, _NUMBERS, NUMBER)
-    with_units = F.regexp_replace(F.array_join(_words(numbered), " "), f"(?<={NUMBER} )(?:{_UNITS})(?= |$)", UNIT)
-    return F.split(with_units, " ")
+def values(words: Column) -> Column:
+    return F.split(words, " ")
 
 
-def _windows(words: Column, width: int, step: int) -> Column:
-    """``(at, width, h)`` of the windows that begin at multiples of ``step``."""
-    starts = F.when(F.size(words) >= width, F.sequence(F.lit(0), F.size(words) - width, F.lit(step)))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(width).alias("width"), F.xxhash64(F.slice(words, i + 1, width)).alias("h")))
+def _window(words: str, at: Column, width: int) -> Column:
+    return F.xxhash64(F.lit(width), *[F.get(F.col(words), at + k) for k in range(width)])
 
 
 def _is_slot(word: Column) -> Column:
@@ -63,51 +70,84 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Columns ``doc_id, item_id, start, n_words, n_same, n_slots, exact``: one row per aligned item of ``benchmark(item_id,
     text)`` in ``docs(doc_id, text)``; ``exact`` tells that slots have the item's own values.
 
-    Every place with 2 * width - 1 agreeing words in a row is looked at. Items of fewer than five words, and null
-    texts on either side, match nothing. Documents or items that share an id are reported under it once per
-    start; null ids stay null. Other columns are ignored; an empty table on either side gives an empty result.
+    Every place with ``width`` agreeing words in a row is looked at; parts of the item up to ``DRIFT`` words off it are
+    added. Items of fewer than five words match by their whole template, those of slots alone only with their own
+    values; items without a word, and null texts on either side, match nothing. ``start`` counts the document's
+    words; in the other numbers a run of names or of numbers is one word. Documents or items that share an id are
+    reported under it once per start; null ids stay null. Other columns are ignored; an empty table on either side
+    gives an empty result.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    items = staged(items.select("item_id", template(F.col("text")).alias("wanted"), values(F.col("text")).alias("asked")).where(F.size("wanted") >= 5)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), marked(F.col("text").cast("string")).alias("m")).where("m <> ''")
+    items = staged(items.select("item_id", template(F.col("m")).alias("wanted"), values(F.col("m")).alias("asked"))
                    .withColumn("item", F.xxhash64("item_id", "wanted", "asked")))
-    sizes = {r.n for r in items.select(F.size("wanted").alias("n")).distinct().collect()}
-    width_of = lambda n: next(w for w in WIDTHS if n >= 2 * w - 1)
-    used = sorted({width_of(n) for n in sizes})
-    by_size = F.coalesce(*[F.when(F.size("wanted") >= 2 * w - 1, F.lit(w)) for w in WIDTHS])
+    n = F.size("wanted")
+    width = F.coalesce(*[F.when(n >= 2 * w - 1, F.lit(w)) for w in WIDTHS], n)
+    used = sorted(r.w for r in items.select(width.alias("w")).distinct().collect())
     if not used:
         used = [WIDTHS[0]]
-    looked = [items.where(by_size == w).select("item", F.explode(_windows(F.col("wanted"), w, 1)).alias("x")).select(
-        "item", F.col("x.at").alias("of"), "x.width", "x.h") for w in used]
+    looked = [items.where(width == w).select("item", "wanted", F.explode(F.sequence(F.lit(0), n - w)).alias("of")).select(
+        "item", "of", _window("wanted", F.col("of"), w).alias("h"),
+        F.when(F.col("of") > 0, F.xxhash64(F.get("wanted", F.col("of") - 1))).alias("before")) for w in used]
     keys = looked[0]
     for more in looked[1:]:
         keys = keys.unionByName(more)
-    keys = broadcast_if_small(staged(keys), 200_000)
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
-    cut = texts.withColumn("words", template(F.col("text")))
-    cut = cut.withColumn("x", F.explode(F.flatten(F.array(*[F.coalesce(_windows(F.col("words"), w, w), F.array()) for w in used]))))
-    cut = cut.select("doc_id", "text", "words", "x.at", "x.width", "x.h")
-    hits = cut.join(keys, ["h", "width"]).select("doc_id", "text", "words", "item", (F.col("at") - F.col("of")).alias("start"))
+    keys = staged(keys)
+    parts = -(-keys.count() // KEYS_AT_ONCE) or 1
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked(F.col("text").cast("string")).alias("m")).where("m <> ''")
+    cut = texts.withColumn("words", template(F.col("m")))
+    cut = cut.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
+    hashes = [F.when(F.col("at") + w <= F.size("words"), _window("words", F.col("at"), w)) for w in used]
+    cut = cut.withColumn("h", hashes[0] if len(hashes) == 1 else F.explode(F.array(*hashes)))
+    # of a run of agreeing words only the first window goes on
+    begins = F.col("before").isNull() | (F.col("at") == 0) | (F.xxhash64(F.get("words", F.col("at") - 1)) != F.col("before"))
+    hits = None
+    for part in range(parts):
+        some = F.broadcast(keys.where(F.pmod("h", F.lit(parts)) == part))
+        found = cut.join(some, "h").where(begins).select("doc_id", "m", "words", "item", (F.col("at") - F.col("of")).alias("start"))
+        hits = found if hits is None else hits.unionByName(found)
     return _compared(hits.join(broadcast_if_small(items, 20_000), "item"))
 
 
 def _compared(hits: DataFrame) -> DataFrame:
     n = F.size("wanted")
     at = lambda column, i: F.get(F.col(column), i)
-    inside = lambda i: (F.col("start") + i >= 0) & (F.col("start") + i < F.size("words"))
-    same = F.filter(F.sequence(F.lit(0), n - 1), lambda i: inside(i) & (at("wanted", i) == at("words", F.col("start") + i)))
-    hits = hits.withColumn("same", same).withColumn("values", values(F.col("text")))
-    slots = F.filter("same", lambda i: _is_slot(at("wanted", i)))
-    hits = hits.withColumn("pairs", F.array_distinct(F.transform(slots, lambda i: F.struct(
-        at("asked", i).alias("item"), at("values", F.col("start") + i).alias("doc")))))
+
+    def agrees(i: Column, d: Column) -> Column:
+        place = F.col("start") + i + d
+        return F.coalesce((i >= 0) & (place >= 0) & (at("wanted", i) == at("words", place)), F.lit(False))
+
+    def in_run(i: Column, d: Column) -> Column:
+        runs = [reduce(lambda a, b: a & b, [agrees(i + k, d) for k in range(low, low + RUN) if k]) for low in range(1 - RUN, 1)]
+        return agrees(i, d) & reduce(lambda a, b: a | b, runs)
+
+    each = F.sequence(F.lit(0), n - 1)
+    pair = lambda i, d: F.struct(i.alias("i"), d.alias("d"), at("asked", i).alias("item"), at("values", F.col("start") + i + d).alias("doc"))
+    drifts = F.array(*[F.lit(d) for d in sorted(range(-DRIFT, DRIFT + 1), key=abs)])
+    straight = F.transform(F.filter(each, lambda i: agrees(i, F.lit(0))), lambda i: pair(i, F.lit(0)))
+    shifted = F.filter(F.transform(each, lambda i: pair(i, F.get(F.filter(drifts, lambda d: in_run(i, d)), F.lit(0)))), lambda p: p["d"].isNotNull())
+    hits = hits.withColumn("values", values(F.col("m"))).withColumn("straight", straight).withColumn("shifted", shifted)
     literal = F.size(F.filter("wanted", lambda w: ~_is_slot(w)))
-    literal_same = F.size(F.filter("same", lambda i: ~_is_slot(at("wanted", i))))
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["item"]))) == F.size("pairs")
-    enough = (F.size("same") >= SHARE * n) & (literal_same >= SHARE * literal) & (literal_same >= 3)
-    return hits.where(consistent & enough).groupBy(
-        "doc_id", F.expr("item"), "start").agg(
-        F.min("item_id").alias("item_id"), F.max(n).alias("n_words"), F.max(F.size("same")).alias("n_same"), F.max(F.size("pairs")).alias("n_slots"),
-        F.bool_or(F.forall("pairs", lambda p: p["item"] == p["doc"])).alias("exact"),
+
+    def judged(same: str) -> Column:
+        slots = F.filter(same, lambda p: _is_slot(at("wanted", p["i"])))
+        pairs = F.array_distinct(F.transform(slots, lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
+        literal_same = F.size(same) - F.size(slots)
+        consistent = F.size(F.array_distinct(F.transform(pairs, lambda p: p["item"]))) == F.size(pairs)
+        exact = F.forall(pairs, lambda p: p["item"] == p["doc"])
+        enough = F.when(n <= SHORT, (F.size(same) == n) & ((literal > 0) | exact)).otherwise(
+            (F.size(same) >= SHARE * n) & (literal_same >= SHARE * literal) & (literal_same >= 3))
+        first = F.col("start") + F.get(same, F.lit(0))["d"]
+        # words of the document before the first one, where runs are one word here
+        gone = F.array_join(F.slice("values", 1, F.greatest(first, F.lit(0))), "")
+        start = first + F.length(gone) - F.length(F.translate(gone, JOINED, ""))
+        return F.when(consistent & enough, F.struct(
+            start.alias("start"), F.size(same).alias("n_same"), F.size(pairs).alias("n_slots"), exact.alias("exact")))
+
+    return hits.withColumn("x", F.coalesce(judged("shifted"), judged("straight"))).where("x IS NOT NULL").groupBy(
+        "doc_id", F.expr("item"), F.col("x.start").alias("start")).agg(
+        F.min("item_id").alias("item_id"), F.max(n).alias("n_words"), F.max("x.n_same").alias("n_same"), F.max("x.n_slots").alias("n_slots"),
+        F.bool_or("x.exact").alias("exact"),
     ).select("doc_id", "item_id", F.col("start").cast("long").alias("start"), "n_words", "n_same", "n_slots", "exact").distinct()
 
 
