@@ -94,7 +94,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     keys = staged(keys)
     parts = -(-keys.count() // KEYS_AT_ONCE) or 1
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked(F.col("text").cast("string")).alias("m")).where("m <> ''")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), marked(F.col("text").cast("string")).alias("m")).where("text IS NOT NULL")
     cut = texts.withColumn("words", template(F.col("m")))
     cut = cut.withColumn("at", F.explode(F.sequence(F.lit(0), F.size("words") - 1)))
     hashes = [F.when(F.col("at") + w <= F.size("words"), _window("words", F.col("at"), w)) for w in used]
@@ -126,10 +126,12 @@ def _compared(hits: DataFrame) -> DataFrame:
     drifts = F.array(*[F.lit(d) for d in sorted(range(-DRIFT, DRIFT + 1), key=abs)])
     straight = F.transform(F.filter(each, lambda i: agrees(i, F.lit(0))), lambda i: pair(i, F.lit(0)))
     shifted = F.filter(F.transform(each, lambda i: pair(i, F.get(F.filter(drifts, lambda d: in_run(i, d)), F.lit(0)))), lambda p: p["d"].isNotNull())
-    hits = hits.withColumn("values", values(F.col("m"))).withColumn("straight", straight).withColumn("shifted", shifted)
+    # as inputs of generators the comparisons run once a hit; a filter on their result would repeat them inside the join
+    hits = hits.withColumn("values", values(F.col("m")))
+    hits = hits.withColumn("same", F.explode(F.array(F.struct(straight.alias("straight"), shifted.alias("shifted")))))
     literal = F.size(F.filter("wanted", lambda w: ~_is_slot(w)))
 
-    def judged(same: str) -> Column:
+    def judged(same: Column) -> Column:
         slots = F.filter(same, lambda p: _is_slot(at("wanted", p["i"])))
         pairs = F.array_distinct(F.transform(slots, lambda p: F.struct(p["item"].alias("item"), p["doc"].alias("doc"))))
         literal_same = F.size(same) - F.size(slots)
@@ -144,7 +146,8 @@ def _compared(hits: DataFrame) -> DataFrame:
         return F.when(consistent & enough, F.struct(
             start.alias("start"), F.size(same).alias("n_same"), F.size(pairs).alias("n_slots"), exact.alias("exact")))
 
-    return hits.withColumn("x", F.coalesce(judged("shifted"), judged("straight"))).where("x IS NOT NULL").groupBy(
+    good = F.filter(F.array(F.coalesce(judged(F.col("same.shifted")), judged(F.col("same.straight")))), lambda x: x.isNotNull())
+    return hits.withColumn("x", F.explode(good)).groupBy(
         "doc_id", F.expr("item"), F.col("x.start").alias("start")).agg(
         F.min("item_id").alias("item_id"), F.max(n).alias("n_words"), F.max("x.n_same").alias("n_same"), F.max("x.n_slots").alias("n_slots"),
         F.bool_or("x.exact").alias("exact"),
