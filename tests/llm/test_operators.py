@@ -250,6 +250,21 @@ def test_license_sequences(spark):
     assert got == [(0, "MIT", 3, 1, 1), (1, "MIT", 2, 1, 2), (6, "Apache-2.0", 5, 0, 1), (6, "CC-BY-NC-4.0", 14, 1, 1)]
 
 
+def test_wrapped_license_texts(spark):
+    import textwrap
+    wrap = lambda text, indent="": textwrap.fill(text, 60, subsequent_indent=indent)
+    sentence = {k: licenses.SENTENCES[k][0] for k in licenses.SENTENCES}
+    mit = "\n\n".join(wrap(sentence[k] + ".") for k in ("mit-grant", "mit-notice", "mit-warranty"))
+    bsd = [sentence["bsd-grant"] + ":", "1. " + sentence["bsd-source"] + ".", "2. " + sentence["bsd-binary"] + "."]
+    third = "3. Neither the name of Example Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.")
+    texts = ["Copyright (c) 2020 X\n" + mit, "\n".join(wrap(x, "   ") for x in bsd), "\r\n\r\n".join(wrap(x, "   ") for x in [*bsd, third]).replace("\n", "\r\n"),
+             " ".join(bsd), gpl, "Some line\nMIT License\nanother line"]
+    got = [(r[0], r[1]) for r in rows(licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))]
+    assert got == [(0, "MIT"), (1, "BSD-2-Clause"), (2, "BSD-3-Clause"), (3, "BSD-2-Clause"), (4, "GPL-3.0-or-later"), (5, "MIT")]
+
+
 @needs_tables
 def test_op1_equals_brute_force(spark):
     known = {s: n for n in licenses.SENTENCES for s in licenses.SENTENCES[n]}

@@ -25,11 +25,16 @@ SENTENCES = {
     "gpl2-name": ["this work is licensed under the gnu general public license version 2", "licensed under the gnu general public license version 2"],
     "gpl-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
     "gpl-hope": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
+    # the usual texts cut these at a colon or semicolon
+    "gpl-free-begin": ["this program is free software"],
+    "gpl3-free-end": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "gpl2-free-end": ["you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
     "lgpl3-name": ["licensed under the gnu lesser general public license version 3"],
     "mpl2-name": ["this source code form is subject to the terms of the mozilla public license v 2 0", "licensed under the mozilla public license version 2 0"],
     "bsd-grant": ["redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"],
     "bsd-source": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
     "bsd-binary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
+    "bsd-neither": ["neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"],
     "bsd-name": ["licensed under the bsd 3 clause license", "released under the bsd license"],
     "cc-by-nc-name": ["licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0"],
     "cc-by-name": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
@@ -37,7 +42,7 @@ SENTENCES = {
     "cc0-name": ["released under cc0 1 0", "licensed under cc0 1 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
-# Rules in order of rank (longer texts of a licence before its name alone), with their SPDX identifier.
+# Rules with their SPDX identifier; new ones go to the end, so that the numbers of the others stay.
 RULES = [
     ("MIT", ["mit-name", "mit-grant", "mit-notice", "mit-warranty"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-warranty"]),
@@ -58,17 +63,50 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-name"]),
     ("CC0-1.0", ["cc0-name"]),
     ("Unlicense", ["unlicense"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-neither"]),
+    ("GPL-3.0-or-later", ["gpl-free-begin", "gpl3-free-end"]),
+    ("GPL-2.0-or-later", ["gpl-free-begin", "gpl2-free-end"]),
 ]
 #: Every known sentence holds one of these, so a text without them has none.
 HINTS = "(?i)licens|released under cc0|permission|copyright|warrant|redistribut|free software|public domain"
-#: Sentences end at a line break, or at a full stop, colon, semicolon, exclamation or question mark before white space.
+#: Ends of sentences within a line: a full stop, colon, semicolon, exclamation or question mark before white space; and line breaks.
 ENDS = r"[\r\n]+|[.:;!?]+\s+"
+#: Ends that also hold in a wrapped text: the same marks, and lines without a letter or digit.
+_FIRM = r"\n[^A-Za-z0-9\n]*+\n[^A-Za-z0-9]*+|[.:;!?]+\s+"
+_MARKER = r"(?m)(^[^A-Za-z0-9\n]*+|[.:;!?]\s+)\(?(?:[0-9]{1,2}|[a-h]|i{1,3}|iv|vi?)[.)][ \t]+(?=[A-Za-z])"
+#: The third BSD clause names the holder.
+_HOLDER = r"(?is)\bneither\s+the\s+names?\s+of\s.{1,200}?\snor\s+the\s+names\s+of\s.{1,60}?\bcontributors\b"
+#: A known sentence is looked for at the beginning and end of at most so many lines without a firm end.
+WRAPPED = 40
 
 
-def _pieces(text: Column) -> Column:
-    """Normalised sentences of a text, the empty ones left out."""
-    words = F.transform(F.split(text, ENDS, -1), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(words, lambda s: s != "")
+def _normal(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
+
+
+def _pieces(text: Column, table: Column) -> Column:
+    """Normalised sentences of a text, the empty ones left out.
+
+    Single line breaks count as spaces where that gives a known sentence, alone or before or after other lines; else they are ends.
+    """
+    plain = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), _MARKER, "$1")
+    plain = F.regexp_replace(plain, _HOLDER, "neither the name of the copyright holder nor the names of its contributors")
+
+    def lines(part: Column) -> Column:
+        return F.filter(F.transform(F.split(part, "\n", -1), _normal), lambda s: s != "")
+
+    known = lambda rows: F.element_at(table, F.array_join(rows, " ")).isNotNull()
+
+    def joined(rows: Column) -> Column:
+        n = F.size(rows)
+        counts = F.sequence(F.least(n, F.lit(WRAPPED)), F.lit(1), F.lit(-1))
+        last = F.coalesce(F.get(F.filter(counts, lambda k: known(F.slice(rows, n - k + 1, k))), F.lit(0)), F.lit(0))
+        first = F.coalesce(F.get(F.filter(counts, lambda k: known(F.slice(rows, F.lit(1), k))), F.lit(0)), F.lit(0))
+        one = lambda part: F.array(F.array_join(part, " "))
+        return (F.when(n < 2, rows).when(last > 1, F.concat(F.slice(rows, F.lit(1), n - last), one(F.slice(rows, n - last + 1, last))))
+                .when(first > 1, F.concat(one(F.slice(rows, F.lit(1), first)), F.slice(rows, first + 1, n - first))).otherwise(rows))
+
+    return F.flatten(F.transform(F.transform(F.split(plain, _FIRM, -1), lines), joined))
 
 
 def _places(rank: int, name: str, wanted: list[int]) -> Column:
@@ -83,18 +121,20 @@ def scan(docs: DataFrame) -> DataFrame:
     """Columns ``doc_id, license, rule, first_sentence, n_sentences``: one row per place of ``docs(doc_id, text)`` where a rule matches.
 
     ``rule`` is its number from 0, ``first_sentence`` counts the text's non-empty sentences from 0. Of rules that
-    match at overlapping sentences the one of lower number counts for each of its places. Null, empty and
+    match at overlapping sentences the one of more sentences, then of lower number, counts for each of its places. Null, empty and
     unlicensed texts give no row; repeated rows give repeated results; other columns are ignored. Sentences are
-    compared whole, so a known one inside a longer sentence is not recognised.
+    compared whole, so a known one inside a longer sentence is not recognised; hard-wrapped ones are joined, and list
+    markers are left out.
     """
     known = {s: i for i, name in enumerate(SENTENCES) for s in SENTENCES[name]}
     number = {name: i for i, name in enumerate(SENTENCES)}
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(HINTS))
-    found = slim.select("doc_id", _pieces(F.col("text")).alias("sentences")).withColumn(
+    found = slim.select("doc_id", _pieces(F.col("text"), table).alias("sentences")).withColumn(
         "ids", F.transform("sentences", lambda s: F.coalesce(F.element_at(table, s), F.lit(-1)))).where("exists(ids, x -> x >= 0)")
     matches = [_places(rank, name, [number[p] for p in parts]) for rank, (name, parts) in enumerate(RULES)]
     every = F.flatten(F.array(*matches))
-    best = F.filter("m", lambda x: ~F.exists("m", lambda y: (y["rule"] < x["rule"]) & (y["first_sentence"] < x["first_sentence"] + x["n_sentences"])
+    best = F.filter("m", lambda x: ~F.exists("m", lambda y: ((y["n_sentences"] > x["n_sentences"]) | (
+        (y["n_sentences"] == x["n_sentences"]) & (y["rule"] < x["rule"]))) & (y["first_sentence"] < x["first_sentence"] + x["n_sentences"])
                                              & (x["first_sentence"] < y["first_sentence"] + y["n_sentences"])))
     return found.withColumn("m", every).select("doc_id", F.explode(best).alias("x")).select("doc_id", "x.*")
