@@ -195,6 +195,16 @@ def test_discovery_falls_back_in_order(spark):
     assert read(nothing, None, None, None) == []
 
 
+def test_discovery_passes_over_places_of_other_sites(spark):
+    rules = SiteRules("https://town.example.org", slug_words=("cdf",))
+    other = spark.createDataFrame([("https://else.example.org/x",)], "url string")
+    site = spark.createDataFrame([("https://town.example.org/cdf-map",)], "url string")
+    pages = spark.createDataFrame([("https://town.example.org/news", '<a href="/cdf-school">x</a>')], "url string, html string")
+    read = lambda *a: [tuple(r) for r in discover_urls(rules, *a).collect()]
+    assert read(other, None, site, pages) == [("https://town.example.org/cdf-map", "site map")]
+    assert read(other, None, other, pages) == [("https://town.example.org/cdf-school", "listing")]
+
+
 def test_bad_cells_of_a_file_reach_the_gate(spark, tmp_path):
     table = projects(spark, {"funding_amount_zmw": "bad amount"})
     write_delimited(table, str(tmp_path / "t"))

@@ -23,7 +23,7 @@ def discover_urls(rules: SiteRules, seeds: DataFrame | None = None, posts: DataF
     record-like links of the ``listings(url, html)``. Blank addresses, and those of other sites, are left out.
     """
     def named(urls: DataFrame, rank: int, place: str) -> DataFrame:
-        kept = urls.filter(F.coalesce(strip(F.col("url")), F.lit("")) != "")
+        kept = urls.filter(F.coalesce(strip(F.col("url")), F.lit("")) != "").filter(same_site(F.col("url"), base))
         return kept.select("url", F.lit(rank).alias("rank"), F.lit(place).alias("found_in"))
 
     base, places = F.lit(rules.base_url), []
@@ -42,5 +42,5 @@ def discover_urls(rules: SiteRules, seeds: DataFrame | None = None, posts: DataF
         places.append(named(links, 3, "listing"))
     if not places:
         raise ValueError("discovery needs seeds, a post index, a site map or listings")
-    found = first_nonempty(*places).filter(same_site(F.col("url"), base))
+    found = first_nonempty(*places)
     return dedup_keep_first(found, "url", ["rank", "found_in"]).select("url", "found_in")
