@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailkeep.session import written
@@ -19,14 +19,19 @@ BROADCAST_ROWS = 500_000
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow(fn, schema)``, with this package sent to the workers once per application."""
-    context = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application."""
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         archive = os.path.join(tempfile.mkdtemp(), "trailkeep")
         context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow(fn, schema)``, with this package at hand on the workers."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
