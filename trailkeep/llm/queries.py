@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailkeep.llm import (
-    codec, decontaminate, html_text, language, licenses, lines, merkle, minhash, pii, sharding, vectors,
+    codec, decontaminate, html_text, language, licenses, lines, merkle, minhash, pii, ranking, sharding, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,22 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
     tampered = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 0, F.lit(False))
     claimed = F.when(tampered, merkle.lowered(F.col("text"))).otherwise(F.col("text"))
     return merkle.prove(merkle.build(docs, claimed)).drop("proof")
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+@_query("op13_ranking", f"""
+WITH d AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY 1, 2),
+len AS (SELECT doc_id, count(*) AS n FROM d GROUP BY 1),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY 1, 2),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf CROSS JOIN total GROUP BY 1),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN len USING (doc_id) CROSS JOIN total GROUP BY 1, 2)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20""")
+def op13_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    return ranking.rank(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
