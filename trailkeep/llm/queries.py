@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailkeep.llm import (
-    codec, decontaminate, html_text, language, licenses, lines, merkle, minhash, pii, ranking, sharding, vectors,
+    codec, decontaminate, html_text, language, licenses, lines, merkle, minhash, pii, ranking, sharding, transducer, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,6 +162,11 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.prove(merkle.build(docs, claimed)).drop("proof")
 
 
+@_query("op12_tokens")
+def op12_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    return transducer.count_tokens(_table(spark, sf, "documents"))
+
+
 _TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
 
