@@ -4,14 +4,17 @@ The standard library's parser streams a page into lines (one per block element)
 them. Each line's text-to-tag ratio is smoothed by a Gaussian; lines over the page's threshold form clusters.
 If articles and mains together hold most of the clustered text, the content is theirs: each one with clusters of its
 own gives all its lines, the others what lies between clusters. Otherwise it is the run from the page's first
-cluster to its last. Lines in menus, adverts and other furniture have ratio zero and are left out.
+cluster to its last. Lines in menus, adverts and other furniture have ratio zero and are left out. A form or an
+element with a furniture class counts as content all the same if the page would keep next to nothing without it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -34,47 +37,76 @@ MARKS = frozenset(
     "login share sharing social related recommended comment comments commentlist disqus respond reply replies pagination pager toolbar widget "
     "search contentinfo complementary disclaimer skip".split())
 OUTSIDE = frozenset("header masthead topbar".split())
+#: Beginnings of class names that tell of the page and not of the element, as in ``has-sidebar``.
+ABOUT = ("has", "no", "with")
+#: Marks of reader comments: only an element with a main heading or the page's main part outweighs them.
+COMMENTS = frozenset("comment comments commentlist disqus respond reply replies".split())
+#: Whole class names of content; an element with one is not taken for comments alone.
+CONTENT = frozenset("article content entry main post story".split())
+#: Open elements are followed to this depth; deeper ones belong to the last one.
+DEEPEST = 512
+_OPENING = re.compile(r"<[A-Za-z/!?]")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SPACE = re.compile(r"\s+")
 SIGMA, RADIUS = 1.0, 2
 _WEIGHTS = [math.exp(-(i * i) / (2 * SIGMA * SIGMA)) for i in range(-RADIUS, RADIUS + 1)]
 
 
+def _own_words(name: str) -> list[str]:
+    """The words of a class name that say what its element is."""
+    words = _NAMES.findall(name)
+    return [] if len(words) > 1 and words[0].lower() in ABOUT else words
+
+
 class _Lines(HTMLParser):
-    """Collects ``(text, tags, furniture, container, heading)`` per line; container is the enclosing article or main."""
+    """Collects ``(text, tags, mark, container, heading)`` per line; container is the enclosing article or main.
+
+    ``marks`` lists the elements that look like furniture, number 0 standing for none:
+    ``[enclosing mark, may be content, is of comments, text in it and in no inner mark, landmarks, main parts and headings]``.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, int, bool]] = []
-        self.open: list[tuple[str, bool, int]] = []
+        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.open: list[tuple[str, int, int]] = []
+        self.marks: list[list] = [[0, True, False, 0, 0, 0]]
+        self.deeper: Counter = Counter()
         self.parts: list[str] = []
         self.tags = 0
         self.outermost = [0]
 
-    def _state(self) -> tuple[bool, int]:
-        return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections such as ``<![if ...]>`` are skipped, whatever their keyword."""
+        end = "]]>" if self.rawdata.startswith("<![CDATA[", i) else ">"
+        at = self.rawdata.find(end, i)
+        return at + len(end) if at >= 0 else -1
+
+    def _state(self) -> tuple[int, int]:
+        return (self.open[-1][1], self.open[-1][2]) if self.open else (0, 0)
 
     def _flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
-            furniture, container = self._state()
+            mark, container = self._state()
             heading = any(t in ("h1", "h2", "h3") for t, _, _ in self.open[-4:])
-            self.lines.append((text, self.tags, furniture, container, heading))
+            self.lines.append((text, self.tags, mark, container, heading))
+            self.marks[mark][3] += len(text)
         self.parts, self.tags = [], 0
 
-    def _marked(self, tag: str, attributes: list, container: int) -> bool:
+    def _marked(self, tag: str, attributes: list, container: int) -> tuple[bool, bool] | None:
+        """Whether a furniture element may be content after all, and whether it is of comments; None for other elements."""
         if tag in FURNITURE or (tag == "header" and not container):
-            return True
+            return tag == "form", False
         if tag in ("html", "body", "article", "main"):
-            return False
+            return None
         for name, value in attributes:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
-                return True
+                return False, False
             if value and name in ("class", "id", "role"):
-                words = {w.lower() for w in _NAMES.findall(value)}
+                words = {w.lower() for whole in value.split() for w in _own_words(whole)}
                 if words & MARKS or (not container and words & OUTSIDE):
-                    return True
-        return False
+                    return True, bool(words & COMMENTS) and not CONTENT & set(value.lower().split())
+        return None
 
     def _close(self, count: int) -> None:
         self._flush()
@@ -96,14 +128,21 @@ class _Lines(HTMLParser):
             if tag == "br":
                 self.parts.append(" ")
             return
-        furniture, container = self._state()
-        if tag in ("article", "main") and not furniture:
+        if len(self.open) >= DEEPEST:
+            self.deeper[tag] += 1
+            return
+        mark, container = self._state()
+        inner = mark
+        if tag in ("article", "main") and not mark:
             self.outermost.append(self.outermost[container] or len(self.outermost))
-            inner, container = furniture, len(self.outermost) - 1
-        else:
-            inner = furniture or self._marked(tag, attributes, container)
-        if inner and not furniture:
+            container = len(self.outermost) - 1
+        elif (found := self._marked(tag, attributes, container)) and (not mark or self.marks[mark][1]):
+            self.marks.append([mark, *found, 0, 0, 0])
+            inner = len(self.marks) - 1
             self._flush()
+        if tag in ("article", "main", "h1"):
+            self.marks[inner][4] += 1
+            self.marks[inner][5] += tag != "article"
         self.open.append((tag, inner, container))
 
     def handle_startendtag(self, tag: str, attributes: list) -> None:
@@ -113,6 +152,11 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
+        if self.deeper[tag]:
+            self.deeper[tag] -= 1
+            if tag in BLOCKS:
+                self._flush()
+            return
         for depth, (name, furniture, _) in enumerate(reversed(self.open), 1):
             if name == tag:
                 outer = len(self.open) > depth and self.open[-depth - 1][1]
@@ -127,10 +171,44 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         self.parts.append(data)
 
-    def finish(self) -> list:
+    def read(self, html: str) -> list[tuple[str, int, bool, int, bool]]:
+        """The lines of a page, furniture told from content. What stands behind the last tag is text up to an unfinished tag."""
+        end = html.rfind(">") + 1
+        self.feed(html[:end])
         self.close()
+        rest = html[end:]
+        unfinished = _OPENING.search(rest)
+        if not self.cdata_elem:
+            self.handle_data(unescape(rest[:unfinished.start()] if unfinished else rest))
         self._flush()
-        return self.lines
+        furniture = self._furniture()
+        return [(text, tags, furniture[mark], container, heading) for text, tags, mark, container, heading in self.lines]
+
+    def _furniture(self) -> list[bool]:
+        """For each mark, outer ones first, whether its lines are furniture.
+
+        An element that may be content is if it holds more than half of the text that may be, and what is content
+        without it either makes up less than a tenth or lacks an article, main part or main heading while it has one.
+        """
+        size, marked = [m[3] for m in self.marks], [m[4] for m in self.marks]
+        for i in range(len(self.marks) - 1, 0, -1):
+            outer, maybe = self.marks[i][:2]
+            if maybe:
+                size[outer] += size[i]
+                marked[outer] += marked[i]
+        mains = [m[5] for m in self.marks]
+        for i in range(len(self.marks) - 1, 0, -1):
+            mains[self.marks[i][0]] += mains[i]
+        total, plain, landmarks = size[0], self.marks[0][3], self.marks[0][4]
+        out = [False]
+        for i, (outer, maybe, comments, own, landed, _) in enumerate(self.marks[1:], 1):
+            lacking = 10 * plain < total or (marked[i] and not landmarks)
+            content = maybe and not out[outer] and lacking and 2 * size[i] > total and (not comments or mains[i])
+            out.append(not content)
+            if content:
+                plain += own
+                landmarks += landed
+        return out
 
 
 def _smoothed(ratios: list[float]) -> list[float]:
@@ -161,8 +239,7 @@ def _of_containers(lines: list, at: list[int], outermost: list[int]) -> list[int
 def main_text(html: str | None) -> str:
     """The article's blocks joined by empty lines; empty if there is none."""
     parser = _Lines()
-    parser.feed(html or "")
-    lines = parser.finish()
+    lines = parser.read(html or "")
     if all(line[2] for line in lines):
         return ""
     ratios = [0.0 if line[2] else len(line[0]) / max(1, line[1]) for line in lines]
