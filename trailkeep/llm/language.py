@@ -27,14 +27,21 @@ SMOOTHING = 0.05
 UNKNOWN = "und"
 #: A filtered document is dropped if its most likely language is less likely than this.
 LEAST_SCORE = 0.5
-REMEMBERED = 300_000
+#: Words whose scores a worker remembers while it reads a partition.
+REMEMBERED = 100_000
 AT_ONCE = 1_000_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-case runs of letters."""
-    return _WORDS.findall((text or "").lower())
+    out = []
+    for word in _WORDS.findall((text or "").lower()):
+        if word.isascii() or word.isalpha():
+            out.append(word)
+        else:
+            out += "".join(c if c.isalpha() else " " for c in word).split()
+    return out
 
 
 class Model:
@@ -45,6 +52,9 @@ class Model:
         self.known: dict[str, int] = {}
         self.rows = np.empty((0, len(languages)))
 
+    def forget(self) -> None:
+        self.known, self.rows = {}, self.rows[:0].copy()
+
     def _forward(self, run: list[str]) -> tuple:
         edges = self.pieces.occurrences([SPACE + w for w in run])
         offset, lengths, start, length, piece = edges
@@ -87,7 +97,7 @@ class Model:
     def scores(self, texts: list[list[str]]) -> np.ndarray:
         """The log-probability of each list of words in each language."""
         if len(self.known) > REMEMBERED:
-            self.known, self.rows = {}, self.rows[:0]
+            self.forget()
         new = [w for w in set().union(*texts) if w not in self.known]
         self.known |= {w: len(self.rows) + i for i, w in enumerate(new)}
         self.rows = np.concatenate((self.rows, self.word_scores(new)))
@@ -144,17 +154,19 @@ def _expect(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
 def train(docs: DataFrame, path: str = MODEL, per_language: int = PER_LANGUAGE, rounds: int = ROUNDS) -> Model | None:
     """The model of ``docs(text, lang)``; rows without text or language teach nothing, no language gives no model.
 
-    About ``per_language`` documents of each language are used (all of a rarer one), chosen by a hash of the text.
+    About ``per_language`` documents of each language are used (all of a rarer one), chosen by a hash of their
+    id and text, so that the copies of a text do not come in together.
     What comes to the driver is bounded: the languages' names, and one number per piece and language.
     """
     spark = docs.sparkSession
-    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
+    name = F.col("doc_id").cast("string") if "doc_id" in docs.columns else F.lit(None).cast("string")
+    labelled = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", F.xxhash64(name, "text").alias("draw"))
     sizes = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return None
     share = F.element_at(F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, per_language / sizes[k]))]), F.col("lang"))
-    chosen = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    chosen = labelled.where(F.pmod("draw", F.lit(1 << 20)) < share * (1 << 20)).select("text", "lang")
     counted = map_arrow(chosen, lambda batches: _count(batches, languages), "word string, language int, n long")
     columns = [F.sum(F.when(F.col("language") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(len(languages))]
     words = staged(counted.groupBy("word").agg(*columns))
@@ -166,6 +178,7 @@ def train(docs: DataFrame, path: str = MODEL, per_language: int = PER_LANGUAGE,
         counts = np.full(model.weights.shape, SMOOTHING)
         for row in parts.groupBy("piece", "language").agg(F.sum("n").alias("n")).collect():
             counts[row.piece, row.language] += row.n
+        shared.destroy()
         model = Model(pieces, languages, np.log(counts) - np.log(counts.sum(axis=0)))
     return model
 
@@ -186,6 +199,8 @@ def _predict(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[p
             names, scores = _judge(shared.value, run)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, len(run)), pa.array(names), pa.array(scores)], ["doc_id", "lang_pred", "score"])
+    if shared.value is not None:
+        shared.value.forget()
 
 
 def _admit(batches: Iterator[pa.RecordBatch], shared: Broadcast, column: int) -> Iterator[pa.RecordBatch]:
@@ -195,6 +210,8 @@ def _admit(batches: Iterator[pa.RecordBatch], shared: Broadcast, column: int) ->
             names, scores = _judge(shared.value, run)
             good += [n != UNKNOWN and s >= LEAST_SCORE for n, s in zip(names, scores)]
         yield batch.filter(pa.array(good, pa.bool_()))
+    if shared.value is not None:
+        shared.value.forget()
 
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
