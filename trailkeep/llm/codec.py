@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from trailkeep.llm.common import map_arrow
 from trailkeep.llm.pieces import MODEL, SPACE, Pieces, levels, slices
 
-#: Chunks whose encoding a worker remembers, and the longest chunk worth it.
-REMEMBERED, LONGEST = 500_000, 40
+#: Chunks whose encoding a worker remembers, the longest chunk worth it, and the pairs of pieces it remembers.
+REMEMBERED, LONGEST, PAIRS = 200_000, 40, 400_000
 #: Characters of texts that are encoded at once.
-AT_ONCE = 2_000_000
+AT_ONCE = 1_000_000
 
 
 class Codec:
@@ -57,6 +57,11 @@ class Codec:
         inner = any(SPACE in t.lstrip(SPACE) or "\n" in t for t in number)
         self.chunks = None if inner else re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
+    def forget(self) -> None:
+        """Give back what was remembered; a worker goes on to other work."""
+        self.known.clear()
+        self.apart.clear()
+
     def _merged(self, text: str) -> tuple[list[str], dict[str, tuple[str, str]]]:
         """The merge encoding of a short text, and what each merged part was made of."""
         parts, split = list(text), {}
@@ -89,7 +94,7 @@ class Codec:
         base = self.pieces.size + 1
         pairs, back = np.unique(before * base + piece, return_inverse=True)
         known, out = self.apart, np.empty(len(pairs), bool)
-        if len(known) > 1_000_000:
+        if len(known) > PAIRS:
             known.clear()
         for n, pair in enumerate(pairs.tolist()):
             ok = known.get(pair)
@@ -177,6 +182,7 @@ def _encode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa
                 [batch.column(0).slice(at, len(run)), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                  pa.array(same)], ["doc_id", "n_ids", "ids", "round_trip"])
             at += len(run)
+    codec.forget()
 
 
 def _decode(batches: Iterator[pa.RecordBatch], shared: Broadcast) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +31,23 @@ def ship(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
 
 
+def trim() -> None:
+    """Give freed memory back to the system, as far as the platform can."""
+    pa.default_memory_pool().release_unused()
+    freed = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if freed is not None:
+        freed(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow(fn, schema)``, with this package at hand on the workers."""
+    """``df.mapInArrow(fn, schema)``, with this package at hand on the workers, which keep no memory at a partition's end."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def tidy(batches):
+        yield from fn(batches)
+        trim()
+
+    return df.mapInArrow(tidy, schema)
 
 
 def staged(df: DataFrame) -> DataFrame:

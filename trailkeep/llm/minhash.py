@@ -25,6 +25,8 @@ ROWS, BANDS = 4, 32
 BINS = 128
 #: Size of the cell maps that bound what two sets can share.
 WORDS = 16
+#: Words whose hashes a worker remembers, and the numbers in the shingle sets it keeps at a time.
+REMEMBERED, HELD = 100_000, 1_000_000
 _SHIFT = np.uint64(64 - 7)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -33,7 +35,7 @@ class _Words(dict):
     """64-bit hashes of words; emptied when it grows large, so that memory stays bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > REMEMBERED:
             self.clear()
         self[word] = value = xxhash.xxh64_intdigest(word)
         return value
@@ -119,14 +121,18 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Sets(dict):
-    """Shingle sets of the texts met last."""
+    """Shingle sets of the texts met last, few enough to hold ``HELD`` numbers besides the newest."""
+
+    held = 0
 
     def of(self, doc: int, text: str) -> np.ndarray:
         found = self.get(doc)
         if found is None:
-            if len(self) > 200:
+            if len(self) > 200 or self.held > HELD:
                 self.clear()
+                self.held = 0
             found = self[doc] = shingle_hashes(text)
+            self.held += len(found)
         return found
 
 
