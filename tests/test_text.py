@@ -59,3 +59,11 @@ def test_punctuation_form(column):
     stop = [*STOPWORDS, "not"]
     assert column(T.clean_text_punct(t, stop), texts) == [
         "annual growth rate reported 29", "growthrate projection 2010 census actual census count", ""]
+
+
+def test_case_fold_of_every_character(column):
+    letters = [c for c in map(chr, range(0x30000)) if not "\ud800" <= c <= "\udfff" and c.lower() != c.casefold() or c in "ßµſŉ"]
+    texts = letters + ["Straße", "GROSSE STRASSE", "ﬃ ß ŉ ß", "ΌΔΟΣ ς", "".join(letters), "", None, "İ", "Ꭰꭰ"]
+    found = column(T.case_fold(t), texts)
+    assert found[:-2] == [None if x is None else x.lower().casefold() for x in texts[:-2]]
+    assert found[-1] == "ᎠᎠ"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from functools import cache
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -166,21 +167,37 @@ def strip_html(col: Column, profile: str = "article") -> Column:
 # --- token features ---------------------------------------------------------------------------
 
 
-def _folds() -> tuple[dict[str, str], dict[str, str]]:
-    """Case folding of lower-case characters: to one character, and to several."""
-    found = {c: c.casefold() for c in map(chr, range(0x110000)) if c.lower() == c != c.casefold() and not "\ud800" <= c <= "\udfff"}
-    return {c: f for c, f in found.items() if len(f) == 1}, {c: f for c, f in found.items() if len(f) > 1}
+@cache
+def _folds() -> dict[str, str]:
+    """What the lower-case characters that case folding changes become: one character or several, none of them changed again."""
+    letters = (c for c in map(chr, range(0x110000)) if not "\ud800" <= c <= "\udfff")
+    return {c: c.casefold() for c in letters if c.lower() == c != c.casefold()}
 
 
-_SINGLE, _SEVERAL = _folds()
+def _class(letters: Iterable[str]) -> str:
+    """A pattern for one of ``letters``, as few ranges; characters before the first one beyond Latin-1 fail at once."""
+    codes = sorted(map(ord, letters))
+    heads = [c for c in codes if c - 1 not in codes]
+    tails = [c for c in codes if c + 1 not in codes]
+    low = "".join(rf"\x{{{c:x}}}" for c in codes if c < 0x100)
+    high = next(rf"\x{{{c:x}}}-\x{{10ffff}}" for c in codes if c >= 0x100)
+    return f"[{low}{high}&&[{''.join(rf'\x{{{a:x}}}-\x{{{b:x}}}' for a, b in zip(heads, tails))}]]"
 
 
 def case_fold(col: Column) -> Column:
-    """Full case folding: lower case, then the few lower-case characters that fold further (sharp s, micro sign, ligatures)."""
-    lower = F.translate(F.lower(col), "".join(_SINGLE), "".join(_SINGLE.values()))
-    table = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f")) for c, f in _SEVERAL.items()])
-    longer = F.aggregate(table, lower, lambda text, x: F.replace(text, x["c"], x["f"]))
-    return F.when(lower.rlike(f"[{''.join(_SEVERAL)}]"), longer).otherwise(lower)
+    """Full case folding: lower case, then the few lower-case characters that fold further (sharp s, micro sign, ligatures).
+
+    Only the folds a text holds are applied to it, one replacement each; most texts hold none.
+    """
+    folds = _folds()
+    some = _class(folds)
+    table = F.create_map(*[F.lit(x) for pair in folds.items() for x in pair])
+
+    def further(text: Column) -> Column:
+        held = F.array_distinct(F.regexp_extract_all(text, F.lit(some), F.lit(0)))
+        return F.aggregate(held, text, lambda done, c: F.replace(done, c, F.element_at(table, c)))
+
+    return let(F.lower(col), lambda text: F.when(text.rlike(some), further(text)).otherwise(text))
 
 
 def clean_text(col: Column, stopwords: Sequence[str] = STOPWORDS) -> Column:
