@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailkeep.operators.quality import GateError
-from trailkeep.operators.skew import group_keys, lookup_join
+from trailkeep.operators.skew import fingerprint, group_keys, lookup_join
 from trailkeep.session import checkpointed
 
 
@@ -72,18 +72,17 @@ def keep_flagged(df: DataFrame, keys: str | Sequence[str]) -> DataFrame:
 
 
 def duplicate_counts(df: DataFrame, key_sets: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows and surplus rows per set of keys: (key_set, rows, surplus)."""
-    parts = []
-    for name, keys in key_sets.items():
-        sizes = df.groupBy(*group_keys(df, _names(keys))).agg(F.count(F.lit(1)).alias("__n"))
-        parts.append(sizes.agg(
-            F.lit(name).alias("key_set"), F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("surplus"),
-        ))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Rows and surplus rows per set of keys: (key_set, rows, surplus). One scan and one shuffle for all sets."""
+    marks = [F.struct(F.lit(i).alias("set"), fingerprint(df, _names(keys)).alias("key")) for i, keys in enumerate(key_sets.values())]
+    each = df.select(F.explode(F.array(*marks)).alias("m")).select("m.set", "m.key")
+    sizes = each.groupBy("set", "key").agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    found = sizes.agg(*[F.struct(
+        F.lit(name).alias("key_set"),
+        F.coalesce(F.sum(F.when(F.col("set") == i, F.col("n"))), none).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("set") == i, F.col("n") - 1)), none).alias("surplus"),
+    ).alias(f"s{i}") for i, name in enumerate(key_sets)])
+    return found.select(F.inline(F.array(*found.columns)))
 
 
 def near_duplicates(df: DataFrame, near_keys: str | Sequence[str], id_col: str,

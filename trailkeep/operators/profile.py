@@ -57,6 +57,11 @@ def missing_counts(df: DataFrame, blank: bool = False, only_gaps: bool = False)
     return counts.filter("missing > 0") if only_gaps else counts
 
 
+def missing_figures(df: DataFrame) -> dict[str, Column]:
+    """The missing cells of each column as aggregates, for ``session.gathered_write``."""
+    return {f"__missing {f.name}": F.count_if(is_missing(f)) for f in df.schema}
+
+
 def info(df: DataFrame) -> DataFrame:
     """(column, non_null, type)"""
     counts = _per_column(df, {c: F.count(c) for c in df.columns}, "non_null")

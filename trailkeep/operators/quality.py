@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from trailkeep.functions.text import strip
 from trailkeep.functions.values import is_email, is_web_url, lost_in_cast
+from trailkeep.operators.skew import fingerprint, lookup_join
+from trailkeep.session import checkpointed
 
 
 class GateError(ValueError):
@@ -147,14 +149,26 @@ def required_columns(df: DataFrame, required: Sequence[str]) -> None:
         raise GateError([("required columns", len(missing), ", ".join(missing))])
 
 
-def frames_equal(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Cell-by-cell comparison as bags of rows: (left_rows, right_rows, only_left, only_right, same_columns)."""
-    same = left.columns == right.columns
+def _by_fingerprint(left: DataFrame, right: DataFrame) -> DataFrame:
+    """All rows of both sides with ``__l`` or ``__r`` 1 and a fingerprint of the cells they have in common."""
     common = [c for c in left.columns if c in right.columns]
     sides = left.select(*common, F.lit(1).alias("__l"), F.lit(0).alias("__r")).unionByName(
         right.select(*common, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
     )
-    diff = sides.groupBy(*common).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    return sides.withColumn("__print", fingerprint(sides, common))
+
+
+def _tally(sides: DataFrame) -> DataFrame:
+    return sides.groupBy("__print").agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+
+
+def frames_equal(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Comparison as bags of rows: (left_rows, right_rows, only_left, only_right, same_columns).
+
+    Rows are compared by a 256-bit fingerprint of their typed cells, so only fingerprints and counts are shuffled.
+    """
+    same = left.columns == right.columns
+    diff = _tally(_by_fingerprint(left, right).select("__print", "__l", "__r"))
     zero = F.lit(0).cast("bigint")
     return diff.agg(
         F.coalesce(F.sum("__l"), zero).alias("left_rows"),
@@ -163,3 +177,32 @@ def frames_equal(left: DataFrame, right: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.col("__r") - F.col("__l"), zero)), zero).alias("only_right"),
         F.lit(same).alias("same_columns"),
     )
+
+
+def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The rows one side has more often than the other: their common cells, ``side`` and ``surplus``.
+
+    Only the fingerprints that differ meet the rows again, so equal rows are never shuffled with their cells.
+    """
+    sides = _by_fingerprint(left, right)
+    differ = checkpointed(_tally(sides.select("__print", "__l", "__r")).filter("__l <> __r").select(
+        "__print", F.abs(F.col("__l") - F.col("__r")).alias("surplus"), (F.col("__l") > F.col("__r")).alias("__left")))
+    own = lookup_join(sides, differ, ["__print"], "inner").filter((F.col("__l") == 1) == F.col("__left"))
+    side = F.when(F.col("__left"), "left").otherwise("right").alias("side")
+    common = [c for c in left.columns if c in right.columns]
+    return own.dropDuplicates(["__print"]).select(*common, side, "surplus")
+
+
+def gathered(rules: Sequence[RowRule], key: str) -> dict[str, Column]:
+    """The figures of row rules as aggregates, for ``session.gathered_write``."""
+    return {f"__rule{i}": F.struct(
+        F.count_if(r.failing).alias("failures"), F.min(F.when(r.failing, F.col(key))).cast("string").alias("sample_key"),
+    ) for i, r in enumerate(rules)}
+
+
+def enforce_gathered(rules: Sequence[RowRule], figures: dict[str, object]) -> None:
+    """Raise if any rule failed, by figures gathered at the write."""
+    found = [(r.name, figures[f"__rule{i}"]) for i, r in enumerate(rules)]
+    failed = [(name, x["failures"], x["sample_key"]) for name, x in found if x["failures"]]
+    if failed:
+        raise GateError(failed)

@@ -1,7 +1,7 @@
 """Cleaning of the curated tables: detect, judge, act. Gates stop a run before anything is written.
 
-Every plan stages its deduplicated table once in the shared folder; profiles, gates and fences are
-narrow passes over it. Rows for review are returned as tables, never dropped.
+Every plan stages its deduplicated table once in the shared folder. Rows, gaps and row rules are counted by the
+tasks that write it; what remains (repeated keys, fences) are narrow passes over it. Rows for review are returned as tables, never dropped.
 """
 
 from __future__ import annotations
@@ -20,11 +20,11 @@ from trailkeep.operators.dedup import (
     dedup_by_url_checked, dedup_except_id, dedup_keep_first, duplicate_counts, keep_flagged, refuse_repeated,
 )
 from trailkeep.operators.outliers import flag_outliers, gate_outliers, iqr_fences
-from trailkeep.operators.profile import missing_counts
+from trailkeep.operators.profile import missing_counts, missing_figures
 from trailkeep.rules import (
     CONTACT_COLUMNS, LEVEL_VALUES, PROFILE_COUNTS, PROFILE_MEASURES, SECTOR_VALUES, STATUS_VALUES, STOPWORDS,
 )
-from trailkeep.session import written
+from trailkeep.session import gathered_write, written
 from trailkeep.sources.delimited import write_if_changed
 
 
@@ -45,6 +45,13 @@ def _sizes(before: int, after: int) -> dict[str, object]:
     return {"input_rows": before, "duplicates_removed": before - after, "output_rows": after}
 
 
+def _gated(df: DataFrame, rules: Sequence[Q.RowRule], key: str) -> tuple[DataFrame, int]:
+    """``df`` written, and its rows; row rules are counted by the writing tasks and stop the plan."""
+    staged, figures = gathered_write(df, {"__rows": F.count(F.lit(1)), **Q.gathered(rules, key)})
+    Q.enforce_gathered(rules, figures)
+    return staged, figures["__rows"]
+
+
 def clean_projects(df: DataFrame) -> Cleaned:
     """Project announcements: exact copies go, same-page variants are reported, casts never lose a value."""
     raw = cols.drop_derived(df, "description_clean")
@@ -54,15 +61,14 @@ def clean_projects(df: DataFrame) -> Cleaned:
     dated, raw_date = cols.to_date_checked(unique, "date_reported")
     typed, raw_amount = cols.to_number_checked(dated, "funding_amount_zmw")
     judged = cols.standardize_categories(typed, ["sector"]).withColumn("status", V.fill_category(F.col("status")))
-    staged = written(judged)
-    Q.enforce(Q.validate(staged, [
+    staged, kept = _gated(judged, [
         Q.no_cast_loss("date is a date", raw_date, "date_reported"),
         Q.no_cast_loss("amount is a number", raw_amount, "funding_amount_zmw"),
         Q.positive("amount is positive", "funding_amount_zmw"),
         Q.allowed("known status", "status", STATUS_VALUES),
         Q.allowed("known sector", "sector", SECTOR_VALUES),
         Q.present("source is named", "source_url"),
-    ], "project_id"))
+    ], "project_id")
     table = staged.drop(raw_date, raw_amount)
     review = keep_flagged(table, ["source_url", "project_name"])
     fences = iqr_fences(table, ["funding_amount_zmw"])
@@ -70,7 +76,7 @@ def clean_projects(df: DataFrame) -> Cleaned:
         "project_id", "project_name", "funding_amount_zmw", "source_url"
     )
     clean = table.select(*["project_id", *content]).withColumn("description_clean", clean_text(F.col("description")))
-    details = {**_sizes(by_url.rows, table.count()), "repeated_url_rows": by_url.surplus,
+    details = {**_sizes(by_url.rows, kept), "repeated_url_rows": by_url.surplus,
                "near_duplicate_rows": review.count(), "outliers": flagged.count()}
     return Cleaned(clean, details, review, fences, flagged, "project_id", details["outliers"])
 
@@ -80,14 +86,13 @@ def clean_posts(df: DataFrame) -> Cleaned:
     raw = cols.drop_derived(df, "body_text_clean")
     by_url = duplicate_counts(raw, {"url": ["url"]}).first()
     dated, raw_date = cols.to_date_checked(raw.distinct(), "date")
-    staged = written(dated)
-    Q.enforce(Q.validate(staged, [
+    staged, kept = _gated(dated, [
         Q.no_cast_loss("date is a date", raw_date, "date"), Q.present("source is named", "url"),
-    ], "url"))
+    ], "url")
     table = staged.drop(raw_date)
     review = keep_flagged(table, ["url"])
     clean = table.withColumn("body_text_clean", clean_text(F.col("body_text")))
-    details = {**_sizes(by_url.rows, table.count()), "repeated_url_rows": by_url.surplus,
+    details = {**_sizes(by_url.rows, kept), "repeated_url_rows": by_url.surplus,
                "near_duplicate_rows": review.count(), "outliers": None}
     return Cleaned(clean, details, review)
 
@@ -116,17 +121,17 @@ def clean_contacts(df: DataFrame, mode: str = "strict", order: str | Sequence[st
         return Cleaned(clean, details, id_col="record_id")
     if mode != "strict":
         raise ValueError(f"unknown mode: {mode}")
-    tidy = written(cols.normalize_text(df))
+    tidy, seen = gathered_write(cols.normalize_text(df), {"rows": F.count(F.lit(1))})
     unique = dedup_by_url_checked(tidy, "source_url", order, "record_id")
-    clean = written(unique.withColumns({
+    clean, kept = _gated(unique.withColumns({
         "email": V.normalize_email(F.col("email")), "phone": collapse_space(F.col("phone")),
-    }))
-    Q.enforce(Q.validate(clean, [
+    }), [
         Q.email_form("e-mail form", "email"), Q.web_url("source is a web address", "source_url"),
-        Q.present("id is present", "record_id"), Q.unique("id is unique", "record_id"),
-    ], "record_id"))
+        Q.present("id is present", "record_id"),
+    ], "record_id")
+    Q.enforce(Q.validate(clean, [Q.unique("id is unique", "record_id")], "record_id"))
     Q.same_columns(clean, df.columns)
-    return Cleaned(clean, _sizes(tidy.count(), clean.count()), id_col="record_id")
+    return Cleaned(clean, _sizes(seen["rows"], kept), id_col="record_id")
 
 
 def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str] = (*STOPWORDS, "not")) -> Cleaned:
@@ -139,15 +144,16 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
     before = df.count()
     observation = ["name", "level", "population_year"]
     if mode == "lax":
-        unique = written(dedup_keep_first(df, observation, "record_id"))
+        unique, seen = gathered_write(
+            dedup_keep_first(df, observation, "record_id"), {"rows": F.count(F.lit(1)), **missing_figures(df)})
         measures = ["population", "area_km2"]
         numeric = unique.withColumns({m: V.to_number(F.col(m)) for m in measures})
         fences = iqr_fences(numeric, measures)
         flagged = flag_outliers(numeric, measures, fences=fences).filter("is_outlier")
         clean = numeric.withColumn("notes_clean", clean_text_punct(F.col("notes"), stopwords))
         clean = cols.standardize_categories(clean, ["status", "sector", "level"])
-        gaps = {f"missing {r.column}": r.missing for r in missing_counts(unique, only_gaps=True).collect()}
-        details = {**_sizes(before, unique.count()), "outliers": flagged.count(), **gaps}
+        gaps = {f"missing {c}": seen[f"__missing {c}"] for c in df.columns if seen[f"__missing {c}"]}
+        details = {**_sizes(before, seen["rows"]), "outliers": flagged.count(), **gaps}
         return Cleaned(clean, details, fences=fences, flagged=flagged, id_col="record_id")
     if mode != "strict":
         raise ValueError(f"unknown mode: {mode}")
@@ -156,24 +162,25 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
     for c in PROFILE_COUNTS:
         typed, raws[c] = cols.to_number_checked(typed, c, "double")
     typed, raws["area_km2"] = cols.to_number_checked(typed, "area_km2")
-    staged = written(typed)
-    refuse_repeated(staged.select("name", "level", F.col(raws["population_year"]).alias("population_year")),
-                    observation, "one observation per unit and year")
     rules = [Q.no_cast_loss(f"{c} is a number", raw, c) for c, raw in raws.items()]
     rules += [Q.not_negative(f"{c} is not negative", c) for c in raws]
     rules += [Q.whole(f"{c} is whole", c) for c in PROFILE_COUNTS]
-    Q.enforce(Q.validate(staged, [
-        *rules,
+    rules += [
         Q.requires("a population has its year", "population", "population_year"),
         Q.allowed("known level", "level", LEVEL_VALUES),
         Q.adds_up("sexes add up", ["population_male", "population_female"], "population"),
         Q.web_url("source is a web address", "source_url"),
-        Q.present("id is present", "record_id"), Q.unique("id is unique", "record_id"),
-    ], "record_id"))
+        Q.present("id is present", "record_id"),
+    ]
+    staged, figures = gathered_write(typed, {"__rows": F.count(F.lit(1)), **Q.gathered(rules, "record_id")})
+    refuse_repeated(staged.select("name", "level", F.col(raws["population_year"]).alias("population_year")),
+                    observation, "one observation per unit and year")
+    Q.enforce_gathered(rules, figures)
+    Q.enforce(Q.validate(staged, [Q.unique("id is unique", "record_id")], "record_id"))
     clean = staged.withColumns({c: F.col(c).cast("bigint") for c in PROFILE_COUNTS}).select(*df.columns)
     fences = written(iqr_fences(clean, list(PROFILE_MEASURES), ["level"]))
     gate_outliers(clean, list(PROFILE_MEASURES), "record_id", ["level"], fences)
-    return Cleaned(clean, {**_sizes(before, clean.count()), "outliers": 0}, fences=fences, id_col="record_id", outliers=0)
+    return Cleaned(clean, {**_sizes(before, figures["__rows"]), "outliers": 0}, fences=fences, id_col="record_id", outliers=0)
 
 
 def publish(tables: dict[str, Cleaned]) -> dict[str, bool]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "trailkeep", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,6 +48,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder as Parquet, for several passes over few columns."""
+    return gathered_write(df, {})[0]
+
+
+def gathered_write(df: DataFrame, figures: Mapping[str, Column]) -> tuple[DataFrame, dict[str, object]]:
+    """``written``, and aggregates of its rows gathered by the tasks that write them, without another pass."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(n) for n, c in figures.items()]) if figures else df
+    observed.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), dict(seen.get) if figures else {}
