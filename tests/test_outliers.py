@@ -115,3 +115,33 @@ def test_counts(spark):
     assert {r.column: r.missing for r in missing_counts(frame, blank=True).collect()} == {"s": 2, "x": 1}
     assert [r.column for r in missing_counts(frame.select("s", F.lit(1).alias("full")), only_gaps=True).collect()] == ["s"]
     assert [tuple(r) for r in value_counts(frame, "s").collect()] == [("b", 2), ("", 1), ("a", 1), (None, 1)]
+
+
+def test_the_table_is_read_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50_000).select((F.xxhash64("id") % 1_000_003).cast("double").alias("x"), (F.col("id") % 3).alias("g")).write.parquet(path)
+    source = spark.read.parquet(path)
+    seen = []
+    meet = O._meet
+
+    def watched(left, state, group, by):
+        seen.append("segment" in left.columns)
+        return meet(left, state, group, by)
+
+    O._meet = watched
+    try:
+        for by in ([], ["g"]):
+            seen.clear()
+            found = {r[0] if by else None: r for r in O.exact_quartiles(source, ["x"], by).collect()}
+            assert seen[0] is False and all(seen[1:-1])
+            for g, r in found.items():
+                values = np.array([v.x for v in source.where(F.lit(True) if g is None else F.col("g") == g).collect()])
+                assert (r.n, r.q1, r.q2, r.q3) == (len(values), *np.percentile(values, [25, 50, 75]))
+    finally:
+        O._meet = meet
+
+
+def test_a_rank_beyond_its_bracket_is_found_in_the_table(spark, monkeypatch):
+    df = spark.range(5_000).select((F.col("id") * 7 % 5_003).cast("double").alias("x"))
+    right = [tuple(r) for r in O.exact_quartiles(df, ["x"]).collect()]
+    assert [tuple(r) for r in O.exact_quartiles(df, ["x"], accuracy=3, bracket=1e-9).collect()] == right

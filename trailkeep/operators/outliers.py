@@ -1,9 +1,11 @@
 """Quartiles, interquartile fences, and what to do with the values beyond them.
 
 The quartiles are exact with linear interpolation, without gathering or sorting the values of a
-group: a mergeable sketch cuts the range of values into segments, counts per slice of a segment
-(combined before the shuffle) tell in which slice a rank lies, and a slice with more than one value
-is cut again. The sketch only decides how soon the slices are narrow, never the result.
+group. The table is read twice: a mergeable sketch brackets each rank, and the distinct values within
+the brackets are kept with their counts, the others only counted. Counts per slice of the kept values
+(combined before the shuffle) tell in which slice a rank lies, and a slice with more than one value is
+cut again. Were a rank beyond its bracket, the same narrowing would run over the table itself, so the
+sketch only decides how much is kept, never the result.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from trailkeep.functions.values import nan_to_null
 from trailkeep.operators.quality import GateError
 from trailkeep.operators.skew import lookup_join
-from trailkeep.session import checkpointed
+from trailkeep.session import checkpointed, written
 
 SKETCH_ACCURACY = 50_000
 BRACKET = 1e-4
@@ -45,24 +47,29 @@ def _slice_counts(placed: DataFrame, group: Sequence[str], slices: int) -> DataF
     """(group..., at, segment, slice, below, ranks, lo, hi, c): counts per slice of each open range.
 
     ``open`` holds disjoint ranges as (breaks, below): ascending break points, and how many values lie
-    below the first one. There are at most ``slices`` + 2 slices between two break points.
+    below the first one. There are at most ``slices`` + 2 slices between two break points. A row stands for
+    ``c`` values (one if there is no such column); one without ``value`` for those of its ``segment`` behind all
+    others there.
     """
+    counted = "c" in placed.columns
     value, breaks = F.col("value"), F.col("range.breaks")
     at = F.expr("filter(open, r -> value >= r.breaks[0] AND value <= element_at(r.breaks, -1))")
+    if counted:
+        at = F.when(value.isNull(), F.col("open")).otherwise(at)
     ranged = placed.withColumn("range", F.get(at, F.lit(0))).filter(F.col("range").isNotNull())
     segment = F.size(F.filter(breaks, lambda b: b <= value))
-    ranged = ranged.withColumn("segment", segment)
+    ranged = ranged.withColumn("segment", F.coalesce(F.col("segment"), segment) if counted else segment)
     low = F.greatest(F.get(breaks, F.col("segment") - 1), F.lit(-_LARGEST))
     high = F.least(F.get(breaks, F.col("segment")), F.lit(_LARGEST))
     half = F.when(high - low == _INFINITY, 0.5).otherwise(1.0)
     share = F.try_divide(value * half - low * half, high * half - low * half)
-    part = F.when(value == -_INFINITY, -1).when(value == _INFINITY, slices + 1).otherwise(
+    part = F.when(value.isNull(), slices + 2).when(value == -_INFINITY, -1).when(value == _INFINITY, slices + 1).otherwise(
         F.coalesce(F.floor(share * slices), F.lit(0)))
     return ranged.groupBy(
         *group, breaks[0].alias("at"), "segment", part.cast("int").alias("slice")
     ).agg(
         F.first("range.below").alias("below"), F.first("ranks").alias("ranks"),
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count(F.lit(1)).alias("c"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), (F.sum("c") if counted else F.count(F.lit(1))).alias("c"),
     )
 
 
@@ -80,12 +87,36 @@ def _kept(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return checkpointed(df) if by else df.sparkSession.createDataFrame(df.collect(), df.schema)
 
 
+def _meet(rows: DataFrame, state: DataFrame, group: Sequence[str], by: Sequence[str]) -> DataFrame:
+    return lookup_join(rows, state, group, "inner") if by else rows.join(F.broadcast(state), "column")
+
+
+def _narrowed(rows: DataFrame, state: DataFrame, group: Sequence[str], by: Sequence[str], slices: int) -> DataFrame | None:
+    """(group..., rank, value) by narrowing over ``rows`` as of ``_slice_counts``; None if a rank is of no kept value."""
+    settled = []
+    while True:
+        picked = _kept(_picked(_slice_counts(_meet(rows, state, group, by), group, slices), group), by)
+        if not picked.filter("lo IS NULL").isEmpty():
+            return None
+        settled.append(picked.filter("lo = hi").select(*group, "rank", F.col("lo").alias("value")))
+        rest = picked.filter("lo < hi")
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
+        state = rest.groupBy(*group).agg(
+            F.collect_set("rank").alias("ranks"),
+            F.collect_set(F.struct(F.array("lo", "hi").alias("breaks"), "below")).alias("open"),
+        )
+        state = checkpointed(state) if by else state
+        rows = rows.filter("value IS NOT NULL")
+
+
 def exact_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
                     accuracy: int = SKETCH_ACCURACY, bracket: float = BRACKET, slices: int = SLICES,
                     points: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """(by..., column, n, q1, q2, q3) of the non-missing values; no row for an empty group.
 
-    ``points`` may name other quantiles; they become q1, q2 and so on.
+    ``points`` may name other quantiles; they become q1, q2 and so on. A rank's bracket holds about twice
+    ``bracket`` of a group's values, and those equal to its ends.
     """
     by = list(by)
     group = [*by, "column"]
@@ -98,24 +129,22 @@ def exact_quartiles(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
     breaks = F.array_sort(F.array_distinct(F.concat(F.array("__min"), "__edges", F.array("__max"))))
     positions = [(F.col("n") - 1) * F.lit(p) for p in points]
     ranks = F.array_distinct(F.array(*[end for p in positions for end in (F.floor(p), F.ceil(p))]))
-    sizes = _kept(sketch.select(*group, "n", ranks.alias("ranks"), F.array(
+    ends = F.array(*[F.struct(F.get("__edges", F.lit(2 * i)).alias("lo"), F.get("__edges", F.lit(2 * i + 1)).alias("hi"))
+                     for i in range(len(points))])
+    sizes = _kept(sketch.select(*group, "n", ranks.alias("ranks"), ends.alias("ends"), F.array(
         F.struct(breaks.alias("breaks"), F.lit(0).cast("bigint").alias("below"))).alias("open")), by)
-    state, settled = sizes.drop("n"), []
-    while True:
-        placed = lookup_join(long, state, group, "inner") if by else long.join(F.broadcast(state), "column")
-        picked = _kept(_picked(_slice_counts(placed, group, slices), group), by)
-        settled.append(picked.filter("lo = hi").select(*group, "rank", F.col("lo").alias("value")))
-        rest = picked.filter("lo < hi")
-        if rest.isEmpty():
-            break
-        state = rest.groupBy(*group).agg(
-            F.collect_set("rank").alias("ranks"),
-            F.collect_set(F.struct(F.array("lo", "hi").alias("breaks"), "below")).alias("open"),
-        )
-        state = checkpointed(state) if by else state
-    found = reduce(DataFrame.unionByName, settled)
-    joined = lookup_join(found, sizes.select(*group, "n"), group, "inner") if by else found.join(
-        F.broadcast(sizes.select("column", "n")), "column")
+    value = F.col("value")
+    near = F.exists("ends", lambda r: (value >= r["lo"]) & (value <= r["hi"]))
+    segment = F.size(F.filter(F.col("open")[0]["breaks"], lambda b: b <= value))
+    kept = written(
+        _meet(long, sizes.select(*group, "ends", "open"), group, by)
+        .select(*group, F.when(~near, segment).alias("segment"), F.when(near, value).alias("value"))
+        .groupBy(*group, "segment", "value").agg(F.count(F.lit(1)).alias("c")))
+    state = sizes.drop("n", "ends")
+    found = _narrowed(kept, state, group, by, slices)
+    if found is None:
+        found = _narrowed(long, state, group, by, slices)
+    joined = _meet(found, sizes.select(*group, "n"), group, by)
     result = []
     picks = []
     for i, position in enumerate(positions, start=1):
