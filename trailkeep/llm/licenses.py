@@ -41,6 +41,21 @@ SENTENCES = {
     "cc-by-sa-name": ["licensed under cc by sa 4 0", "this work is licensed under cc by sa 4 0"],
     "cc0-name": ["released under cc0 1 0", "licensed under cc0 1 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
+    "mit-file": ["this project is licensed under the mit license see the license file",
+                 "this project is licensed under the mit license see the license file for details"],
+    "apache-file": ["this project is licensed under the apache license 2 0", "licensed under the apache license 2 0",
+                    "this project is licensed under the apache license version 2 0 see the license file for details"],
+    "mit-liable": ["in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"],
+    "isc-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"],
+    "0bsd-grant": ["permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"],
+    "isc-name": ["licensed under the isc license", "isc license", "released under the isc license"],
+    "bsl-grant": ["boost software license version 1 0", "distributed under the boost software license version 1 0"],
+    "zlib-grant": ["this software is provided as is without any express or implied warranty"],
+    "zlib-event": ["in no event will the authors be held liable for any damages arising from the use of this software"],
+    "agpl3-name": ["licensed under the gnu affero general public license version 3", "this work is licensed under the gnu affero general public license version 3"],
+    "agpl3-free-end": ["you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"],
+    "lgpl21-name": ["licensed under the gnu lesser general public license version 2 1"],
+    "epl2-name": ["licensed under the eclipse public license 2 0", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"],
 }
 # Rules with their SPDX identifier; new ones go to the end, so that the numbers of the others stay.
 RULES = [
@@ -66,45 +81,73 @@ RULES = [
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-neither"]),
     ("GPL-3.0-or-later", ["gpl-free-begin", "gpl3-free-end"]),
     ("GPL-2.0-or-later", ["gpl-free-begin", "gpl2-free-end"]),
+    ("MIT", ["mit-file"]),
+    ("Apache-2.0", ["apache-file"]),
+    ("MIT", ["mit-grant", "mit-notice", "mit-warranty", "mit-liable"]),
+    ("MIT", ["mit-name", "mit-grant", "mit-notice", "mit-warranty", "mit-liable"]),
+    ("ISC", ["isc-grant"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("ISC", ["isc-name"]),
+    ("BSL-1.0", ["bsl-grant"]),
+    ("Zlib", ["zlib-grant", "zlib-event"]),
+    ("AGPL-3.0", ["agpl3-name"]),
+    ("AGPL-3.0-or-later", ["gpl-free-begin", "agpl3-free-end"]),
+    ("LGPL-2.1", ["lgpl21-name"]),
+    ("EPL-2.0", ["epl2-name"]),
 ]
-#: Every known sentence holds one of these, so a text without them has none.
-HINTS = "(?i)licens|released under cc0|permission|copyright|warrant|redistribut|free software|public domain"
+#: Every known sentence holds one of these (words of one may stand on two lines), so a text without them has none.
+HINTS = "(?i)licens|released[^a-z0-9]+under[^a-z0-9]+cc0|permission|copyright|warrant|redistribut|free[^a-z0-9]+software|public[^a-z0-9]+domain|held[^a-z0-9]+liable"
 #: Ends of sentences within a line: a full stop, colon, semicolon, exclamation or question mark before white space; and line breaks.
 ENDS = r"[\r\n]+|[.:;!?]+\s+"
 #: Ends that also hold in a wrapped text: the same marks, and lines without a letter or digit.
 _FIRM = r"\n[^A-Za-z0-9\n]*+\n[^A-Za-z0-9]*+|[.:;!?]+\s+"
 _MARKER = r"(?m)(^[^A-Za-z0-9\n]*+|[.:;!?]\s+)\(?(?:[0-9]{1,2}|[a-h]|i{1,3}|iv|vi?)[.)][ \t]+(?=[A-Za-z])"
-#: The third BSD clause names the holder.
-_HOLDER = r"(?is)\bneither\s+the\s+names?\s+of\s.{1,200}?\snor\s+the\s+names\s+of\s.{1,60}?\bcontributors\b"
-#: A known sentence is looked for at the beginning and end of at most so many lines without a firm end.
-WRAPPED = 40
+#: The third BSD clause names the holder; each beginning is followed by what stands up to the next one.
+_NEITHER = r"(?i)\bneither\s+the\s+names?\s+of\s"
+_HOLDER = r"(?is)\A(?>[^:;]*?\snor\s+the\s+names\s+of\s)[^:;]*?\bcontributors\b"
 
 
 def _normal(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
-def _pieces(text: Column, table: Column) -> Column:
+def _pieces(text: Column, known: dict[str, int]) -> Column:
     """Normalised sentences of a text, the empty ones left out.
 
-    Single line breaks count as spaces where that gives a known sentence, alone or before or after other lines; else they are ends.
+    Single line breaks are ends, but count as spaces where lines in a row give a known sentence: from each line on that
+    begins like one, as many lines as the longest has words are tried, and the most that give one are joined.
     """
+    table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    begins = F.array(*[F.lit(w) for w in sorted({s.split()[0] for s in known})])
+    most = max(len(s.split()) for s in known)
     plain = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), _MARKER, "$1")
-    plain = F.regexp_replace(plain, _HOLDER, "neither the name of the copyright holder nor the names of its contributors")
+    parts = F.split(plain, _NEITHER, -1)
+    holder = "the copyright holder nor the names of its contributors"
+    plain = F.array_join(F.transform(parts, lambda p, i: F.when(i > 0, F.regexp_replace(p, _HOLDER, holder)).otherwise(p)), "neither the name of ")
 
     def lines(part: Column) -> Column:
         return F.filter(F.transform(F.split(part, "\n", -1), _normal), lambda s: s != "")
 
-    known = lambda rows: F.element_at(table, F.array_join(rows, " ")).isNotNull()
+    def span(rows: Column, i: Column) -> Column:
+        counts = F.sequence(F.least(F.size(rows) - i, F.lit(most)), F.lit(1), F.lit(-1))
+        whole = F.filter(counts, lambda k: F.element_at(table, F.array_join(F.slice(rows, i + 1, k), " ")).isNotNull())
+        begun = F.array_contains(begins, F.substring_index(F.get(rows, i), " ", 1))
+        return F.when(begun, F.coalesce(F.get(whole, F.lit(0)), F.lit(1))).otherwise(F.lit(1))
 
     def joined(rows: Column) -> Column:
-        n = F.size(rows)
-        counts = F.sequence(F.least(n, F.lit(WRAPPED)), F.lit(1), F.lit(-1))
-        last = F.coalesce(F.get(F.filter(counts, lambda k: known(F.slice(rows, n - k + 1, k))), F.lit(0)), F.lit(0))
-        first = F.coalesce(F.get(F.filter(counts, lambda k: known(F.slice(rows, F.lit(1), k))), F.lit(0)), F.lit(0))
-        one = lambda part: F.array(F.array_join(part, " "))
-        return (F.when(n < 2, rows).when(last > 1, F.concat(F.slice(rows, F.lit(1), n - last), one(F.slice(rows, n - last + 1, last))))
-                .when(first > 1, F.concat(one(F.slice(rows, F.lit(1), first)), F.slice(rows, first + 1, n - first))).otherwise(rows))
+        spans = F.transform(rows, lambda _, i: F.struct(i.alias("at"), span(rows, i).alias("n")))
+        long = F.filter(spans, lambda x: x["n"] > 1)
+
+        def step(state: Column, x: Column) -> Column:
+            between = F.when(x["at"] > state["next"], F.slice(rows, state["next"] + 1, x["at"] - state["next"])).otherwise(F.array().cast("array<string>"))
+            one = F.array(F.array_join(F.slice(rows, x["at"] + 1, x["n"]), " "))
+            return F.when(x["at"] < state["next"], state).otherwise(F.struct(
+                (x["at"] + x["n"]).alias("next"), F.concat(state["out"], between, one).alias("out")))
+
+        start = F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("out"))
+        rest = F.aggregate(long, start, step, lambda s: F.concat(
+            s["out"], F.when(s["next"] < F.size(rows), F.slice(rows, s["next"] + 1, F.size(rows) - s["next"])).otherwise(F.array().cast("array<string>"))))
+        return F.when(F.size(rows) < 2, rows).otherwise(rest)
 
     return F.flatten(F.transform(F.transform(F.split(plain, _FIRM, -1), lines), joined))
 
@@ -130,7 +173,7 @@ def scan(docs: DataFrame) -> DataFrame:
     number = {name: i for i, name in enumerate(SENTENCES)}
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("text").rlike(HINTS))
-    found = slim.select("doc_id", _pieces(F.col("text"), table).alias("sentences")).withColumn(
+    found = slim.select("doc_id", _pieces(F.col("text"), known).alias("sentences")).withColumn(
         "ids", F.transform("sentences", lambda s: F.coalesce(F.element_at(table, s), F.lit(-1)))).where("exists(ids, x -> x >= 0)")
     matches = [_places(rank, name, [number[p] for p in parts]) for rank, (name, parts) in enumerate(RULES)]
     every = F.flatten(F.array(*matches))
