@@ -27,7 +27,10 @@ RUN, DRIFT = 3, 6
 KEYS_AT_ONCE = 500_000
 JOINED = "\ue003"
 NUMBER, UNIT, NAME = "\ue000", "\ue001", "\ue002"
-_NAMES = r"(?<=[^.!?:;\s] )\p{Lu}[\p{L}'’-]*"
+#: Names begin with a capital within a sentence; words of capitals alone are names only beside a lower-case word.
+_CAPITALS = r"\p{Lu}[\p{Lu}'’-]*(?![\p{L}'’-])"
+_NAMES = (rf"(?<=[^.!?:;\s] )(?:\p{{Lu}}[\p{{Lu}}'’-]*\p{{Ll}}[\p{{L}}'’-]*|(?<=\p{{Ll}} ){_CAPITALS}|"
+          rf"{_CAPITALS}(?=[^\p{{L}}\p{{N}}]{{1,3}}\p{{Ll}}))")
 _NUMBERS = r"(?<![\p{L}\p{N}])[$€£+-]?\p{Nd}[\p{L}\p{Nd}]*(?:[.,:/]\p{Nd}+)*"
 # Units that follow a number.
 _UNITS = (
