@@ -39,6 +39,27 @@ def test_keep_first_combines_before_the_shuffle(skewed):
     assert "partial_min_by" in plan and "Window" not in plan
 
 
+def test_wide_rows_are_not_shuffled(spark, skewed):
+    wide = skewed.select("*", F.concat(F.lit("text "), "id").alias("w"), F.lit("x").alias("note"))
+    expected = {}
+    for r in sorted(wide.collect(), key=lambda r: r.id):
+        expected.setdefault(r.k, r)
+    for parts in (1, 7):
+        found = D.dedup_keep_first(wide.repartition(parts, "v"), "k", "id")
+        assert found.columns == wide.columns and rows(found) == sorted(expected.values(), key=str)
+    found = D.dedup_keep_first(wide, "k", "id")
+    assert "Exchange hashpartitioning" not in physical(found) and "min_by" not in physical(found)
+    assert rows(D.dedup_keep_first(wide, "k", "id", derived=True)) == sorted(expected.values(), key=str)
+
+
+def test_rows_that_order_does_not_tell_apart_leave_one(spark):
+    frame = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (2, "a", "x"), (1, "b", "x"), (1, None, "y"), (1, None, "y"), (None, "c", "z"), (3, "c", "z")],
+                                  "id int, n string, p string")
+    found = D.dedup_except_id(frame, "id").collect()
+    assert sorted(map(tuple, found), key=str) == sorted([(1, "a", "x"), (1, "b", "x"), (1, None, "y"), (None, "c", "z")], key=str)
+    assert D.dedup_except_id(frame.limit(0), "id").count() == 0
+
+
 def test_except_id_and_missing_cells(spark):
     frame = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", "x"), (4, "a", "x")], "id int, n string, p string")
     assert [r.id for r in D.dedup_except_id(frame, "id").orderBy("id").collect()] == [1, 3]

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from trailkeep.operators.quality import GateError
 from trailkeep.sources.delimited import read_delimited, require_round_trip, verify_round_trip, write_delimited, write_if_changed
-from trailkeep.sources.snapshot import audit_report, replay, snapshot_once, write_audit
+from trailkeep.sources.snapshot import audit_report, drift, replay, snapshot_once, write_audit
 from trailkeep.sources.web import read_pages, read_post_index, read_sitemap
 
 SCHEMA = "id string, amount double, day date, note string"
@@ -71,6 +71,27 @@ def test_snapshot_replays_the_first_input(spark, tmp_path):
     assert snapshot_once(spark.range(9), path).count() == 9
 
 
+def test_drift_names_what_changed(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    source = spark.createDataFrame([(1, "a", None), (2, "b", 0.0), (3, None, 2.5)], "id int, name string, rate double")
+    assert drift(source, path).isEmpty()  # nothing preserved yet
+    snapshot_once(source, path)
+    assert drift(source.repartition(3).orderBy(F.desc("id")), path).isEmpty()
+
+    def changed(df):
+        return {r.metric: (r.preserved, r.now) for r in drift(df, path).collect()}
+
+    renamed = source.withColumn("name", F.when(F.col("id") == 2, "B").otherwise(F.col("name")))
+    assert set(changed(renamed)) == {"row contents", "contents name"}
+    swapped = spark.createDataFrame([(2, "a", None), (1, "b", 0.0), (3, None, 2.5)], source.schema)
+    assert set(changed(swapped)) == {"row contents"}
+    assert changed(source.where("id < 3"))["rows"] == ("3", "2")
+    other = changed(source.drop("rate").withColumn("id", F.col("id").cast("long")))
+    assert other["type id"] == ("int", "bigint") and other["type rate"] == ("double", None) and "contents id" not in other
+    (tmp_path / "snap.manifest" / "_SUCCESS").unlink()  # a copy of an earlier version
+    assert drift(source, path).isEmpty() and set(changed(renamed)) == {"row contents", "contents name"}
+
+
 def test_pages(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>1</p>\n<p>2</p>")
     (tmp_path / "b.html").write_text("x")

@@ -1,8 +1,9 @@
 """Duplicates: keep-first, keep-last, conflict-checked removal, counts and review sets.
 
 ``order`` names the columns that say which row is first; results are the same for any partitioning
-as long as they tell the rows of a key apart. Every removal is one aggregation with map-side
-combination, so a key that holds a third of all rows arrives as one row per map task.
+as long as they tell the rows of a key apart. Every removal aggregates with map-side combination, so a
+key that holds a third of all rows arrives as one row per map task. Wide rows are not aggregated: their
+fingerprints and order find the keys that repeat, and a lookup takes the later rows of those out.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailkeep.operators.quality import GateError
 from trailkeep.operators.skew import fingerprint, group_keys, lookup_join
@@ -21,23 +23,55 @@ def _names(columns: str | Sequence[str]) -> list[str]:
     return [columns] if isinstance(columns, str) else list(columns)
 
 
-def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
-    """One row per key, the first in ``order``; missing keys equal missing keys."""
+def _is_wide(df: DataFrame) -> bool:
+    """Whether rows hold more than one column without a fixed width."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    return sum(not isinstance(f.dataType, fixed) for f in df.schema.fields) > 1
+
+
+def _keep_first_narrow(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows in place unless an earlier row of their key exists; only keys and order are shuffled.
+
+    Rows of one key that even ``order`` does not tell apart are met again, and one of them stays.
+    """
+    marks = group_keys(df, keys)
+    names = [f"__k{i}" for i in range(len(marks))]
+    marked = df.select("*", *[m.alias(n) for m, n in zip(marks, names)], F.struct(*order).alias("__place"))
+    places = marked.select(*names, "__place").groupBy(*names, "__place").agg(F.count(F.lit(1)).alias("__n"))
+    firsts = places.groupBy(*names).agg(
+        F.min(F.struct("__place", "__n")).alias("__m"), F.sum("__n").alias("__rows")
+    ).filter("__rows > 1")
+    repeated = checkpointed(firsts.select(*names, F.col("__m.__place").alias("__first"), F.col("__m.__n").alias("__ties")))
+    found = lookup_join(marked, repeated, names).filter(F.col("__first").isNull() | F.col("__place").eqNullSafe(F.col("__first")))
+    if repeated.filter("__ties > 1").isEmpty():
+        return found.select(*df.columns)
+    tied = found.filter("__ties > 1").groupBy(*names).agg(F.first(F.struct(*df.columns)).alias("__row")).select("__row.*")
+    return found.filter("__ties IS NULL OR __ties = 1").select(*df.columns).unionByName(tied)
+
+
+def dedup_keep_first(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str], derived: bool = False) -> DataFrame:
+    """One row per key, the first in ``order``; missing keys equal missing keys.
+
+    Wide rows are read twice, so that none is shuffled whole; ``derived`` says that they are dear to compute and
+    better aggregated in one pass.
+    """
     keys, order = _names(keys), _names(order)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    if not derived and _is_wide(df):
+        return _keep_first_narrow(df, keys, order)
     if rest == order and len(rest) == 1:
         return df.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0])).select(*df.columns)
     first = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__first")
     return df.groupBy(*group_keys(df, keys)).agg(first).select("__first.*")
 
 
-def dedup_except_id(df: DataFrame, id_col: str, order: str | Sequence[str] | None = None) -> DataFrame:
+def dedup_except_id(df: DataFrame, id_col: str, order: str | Sequence[str] | None = None, derived: bool = False) -> DataFrame:
     """Rows that agree in every column but the id (and the order columns) are one row: the first."""
     order = _names(order or id_col)
     keys = [c for c in df.columns if c != id_col and c not in order]
-    return dedup_keep_first(df, keys, order)
+    return dedup_keep_first(df, keys, order, derived)
 
 
 def dedup_last_wins(df: DataFrame, keys: str | Sequence[str], order: str | Sequence[str],

@@ -42,7 +42,7 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(right, match, how).drop(*[f"__{k}" for k in keys])
 
 
-def _cell_text(field: T.StructField) -> Column:
+def cell_text(field: T.StructField) -> Column:
     """A cell as text, different for different values: timestamps to the microsecond, one zero and one NaN."""
     col, kind = F.col(field.name), field.dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
@@ -56,7 +56,7 @@ def _cell_text(field: T.StructField) -> Column:
 
 def fingerprint(df: DataFrame, keys: Sequence[str]) -> Column:
     """One short grouping value for wide keys (SHA-256 of all cells with their lengths, missing kept apart from blank)."""
-    cells = [_cell_text(df.schema[k]) for k in keys]
+    cells = [cell_text(df.schema[k]) for k in keys]
     marked = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]
     return F.sha2(F.concat(*marked).cast("binary"), 256)
 

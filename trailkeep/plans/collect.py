@@ -40,7 +40,7 @@ def finalize_records(candidates: DataFrame, id_format: str) -> DataFrame:
     key = ["source_url", "project_name", "description"]
     # Units of two saved copies of a page may tie: their other columns then decide which comes first.
     others = [c for c in tidy.columns if c not in key and c != "unit_no"]
-    unique = dedup_keep_first(tidy, key, ["unit_no", *others])
+    unique = dedup_keep_first(tidy, key, ["unit_no", *others], derived=True)
     # The description settles the order of records that agree in date, source and name.
     order = [*RECORD_ORDER, "description"]
     return assign_ids(unique.drop("unit_no"), order, id_format, "project_id").select(*PROJECT_COLUMNS)

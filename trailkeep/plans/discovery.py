@@ -43,4 +43,4 @@ def discover_urls(rules: SiteRules, seeds: DataFrame | None = None, posts: DataF
     if not places:
         raise ValueError("discovery needs seeds, a post index, a site map or listings")
     found = first_nonempty(*places)
-    return dedup_keep_first(found, "url", ["rank", "found_in"]).select("url", "found_in")
+    return dedup_keep_first(found, "url", ["rank", "found_in"], derived=True).select("url", "found_in")
