@@ -79,6 +79,22 @@ def test_url_variants_are_refused(spark):
         D.dedup_by_url_checked(other, "url", "i")
 
 
+def test_url_variants_are_set_aside_for_review(spark):
+    frame = spark.createDataFrame([(1, "u", "x"), (2, "u", "x"), (3, "u", "y"), (4, "v", "x"), (5, "v", "x"), (6, None, "x"), (7, None, "z")],
+                                  "i int, url string, body string")
+    settled, disputed = D.split_by_url(frame, "url", "i")
+    assert [r.i for r in D.dedup_by_url_checked(settled, "url", "i").collect()] == [4]
+    assert sorted(r.i for r in D.dedup_except_id(disputed, "i").collect()) == [1, 3, 6, 7]
+
+
+def test_pages_saved_with_different_contents_pass_the_checked_query(spark, tmp_path):
+    from contract.records import one_page_per_url
+
+    rows = [(1, "u", "<p>a</p>"), (2, "u", "<p>b</p>"), (3, "v", "<p>a</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted((r.page_id, r.url) for r in one_page_per_url(spark, str(tmp_path)).collect()) == [(1, "u"), (2, "u"), (3, "v")]
+
+
 def test_flagged_groups_hold_all_members_and_missing_keys(skewed):
     counts = {}
     for r in skewed.collect():

@@ -146,3 +146,12 @@ def dedup_by_url_checked(df: DataFrame, url: str, order: str | Sequence[str],
     variants = checkpointed(dedup_except_id(df, id_col or _names(order)[0], order))
     refuse_repeated(variants.select(url), url, f"one content per {url}")
     return variants
+
+
+def split_by_url(df: DataFrame, url: str, order: str | Sequence[str],
+                 id_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(settled, disputed): all rows, apart by whether their URL has different contents, which the checked removal refuses."""
+    outside = {id_col or _names(order)[0], *_names(order)}
+    contents = df.select(url, fingerprint(df, [c for c in df.columns if c not in outside]).alias("__print")).distinct()
+    disputed = checkpointed(repeated_keys(contents, url).drop("rows"))
+    return lookup_join(df, disputed, [url], "left_anti"), lookup_join(df, disputed, [url], "left_semi")
