@@ -150,6 +150,17 @@ def test_contact_links(spark):
     assert [r.target for r in rows] == [f"{SITE}/about", f"{SITE}/contact#map"]
 
 
+def test_links_of_a_page_saved_twice_are_one_list(spark):
+    rows = [(f"{SITE}/", '<a href="/2024/a">a</a><a href="/2024/c">c</a>'), (f"{SITE}/x", '<a href="/2024/a">a</a>'),
+            (f"{SITE}/", '<a href="/2024/b">b</a><a href="/2024/a">a</a><a href="/t">t</a><a href="/2024/d">d</a>')]
+    frame = spark.createDataFrame(rows, "url string, html string")
+    found = sorted((r.url, r.pos, r.target) for r in P.extract_links(frame).collect())
+    assert found == [(f"{SITE}/", i, f"{SITE}/2024/{c}") for i, c in enumerate("abcd")] + [(f"{SITE}/x", 0, f"{SITE}/2024/a")]
+    menu = P.contact_links(frame, menu=("a", "b"))
+    assert sorted((r.url, r.target) for r in menu.collect()) == [
+        (f"{SITE}/", f"{SITE}/2024/a"), (f"{SITE}/", f"{SITE}/2024/b"), (f"{SITE}/x", f"{SITE}/2024/a")]
+
+
 def test_urls(column):
     urls = ["https://www.Town.example.org/x", "http://town.example.org:80/", "ftp://town.example.org", "https://town.example.org/a b"]
     assert column(X.same_site(t, F.lit(SITE)), urls) == [True, False, False, True]

@@ -1,6 +1,6 @@
 """A table of saved pages (url, html) turned into paragraphs, units, links, contacts, facts and records.
 
-All of it is per page: projections and generators without a shuffle.
+All of it is per page: projections and generators without a shuffle; only links of pages saved more than once meet.
 """
 
 from __future__ import annotations
@@ -10,12 +10,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from trailkeep.functions import classify as C
 from trailkeep.functions import extract as X
 from trailkeep.functions.text import blank_to_null, clean_space, html_unescape, strip_html
 from trailkeep.functions.values import parse_grouped_int
+from trailkeep.operators.dedup import repeated_keys
+from trailkeep.operators.skew import lookup_join
 from trailkeep.rules import CONTACT_COLUMNS, CONTACT_MENU, PROFILE_COLUMNS, PROJECT_COLUMNS, FactTemplate, SiteRules
+from trailkeep.session import checkpointed
 
 
 def filter_once(df: DataFrame, condition: Column) -> DataFrame:
@@ -114,7 +118,7 @@ def extract_links(pages: DataFrame, base_url: str | None = None, slug_words: Seq
     """(url, pos, target): links of the article blocks if there are any, else of the page.
 
     Resolved against the page, same site only (``base_url``, or the page's own site), first
-    occurrence per page; ``record_like`` keeps those that look like records.
+    occurrence per URL; ``record_like`` keeps those that look like records.
     """
     blocks = F.regexp_extract_all(F.col(html), F.lit(X.ARTICLE_BLOCK), F.lit(0))
     area = F.when(F.size(blocks) > 0, F.array_join(blocks, "\n")).otherwise(F.col(html))
@@ -147,11 +151,25 @@ def contact_links(pages: DataFrame, menu: Sequence[str] = CONTACT_MENU, html: st
 
 def _per_page(pages: DataFrame, found: Column, target: Callable[[Column], Column],
               kept: Callable[[Column], Column]) -> DataFrame:
-    """(url, pos, target): targets of the found items, distinct and in order within their page."""
-    listed = pages.select("url", found.alias("__found"))
-    listed = listed.select("url", F.transform("__found", lambda x: target(x)).alias("__targets"))
-    listed = listed.select("url", F.array_distinct(F.filter("__targets", lambda x: kept(x))).alias("__targets"))
-    return _numbered(listed, ["url"], "__targets", "pos", "target")
+    """(url, pos, target): targets of the found items, distinct and in order within their page.
+
+    Rows of one URL are copies of one page: a target counts once, at its first place in any copy; equal places by target.
+    """
+    def listed(part: DataFrame) -> DataFrame:
+        return part.select("url", found.alias("__found")).select("url", F.transform("__found", lambda x: target(x)).alias("__targets"))
+
+    def single(part: DataFrame) -> DataFrame:
+        own = listed(part).select("url", F.array_distinct(F.filter("__targets", lambda x: kept(x))).alias("__targets"))
+        return _numbered(own, ["url"], "__targets", "pos", "target")
+
+    several = checkpointed(repeated_keys(pages.select("url"), "url").drop("rows"))
+    if several.isEmpty():
+        return single(pages)
+    each = _numbered(listed(lookup_join(pages, several, ["url"], "left_semi")), ["url"], "__targets", "pos", "target")
+    firsts = each.filter(kept(F.col("target"))).groupBy("url", "target").agg(F.min("pos").alias("pos"))
+    place = F.row_number().over(Window.partitionBy("url").orderBy("pos", "target")) - 1
+    merged = firsts.select("url", place.alias("pos"), "target")
+    return single(lookup_join(pages, several, ["url"], "left_anti")).unionByName(merged)
 
 
 # --- contacts ---------------------------------------------------------------------------------
