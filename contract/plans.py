@@ -111,7 +111,7 @@ def records(spark, sf):
     tidy AS (SELECT * FROM records QUALIFY row_number() OVER (PARTITION BY source_url, project_name, description ORDER BY unit_no) = 1)
     SELECT printf('REC-%03d', row_number() OVER (ORDER BY date_reported, source_url, project_name, description)) AS project_id, {RECORD_COLUMNS} FROM tidy""")
 def collected_records(spark, sf):
-    return collect_records(project_pages(spark, sf), RULES).records
+    return collect_records(project_pages(spark, sf), RULES, order="page_id").records
 
 
 @query("l1_collect_records_rejects", """

@@ -46,6 +46,16 @@ def test_bundled_page(spark):
     assert {r.project_id for r in rows} == {"REC-001", "REC-002"}
 
 
+def test_the_first_saved_copy_of_a_page_gives_the_record(spark):
+    dated = BUNDLE.replace("2026-02-26", "2026-03-01")
+    assert dated != BUNDLE
+    rows = [(10, f"{SITE}/?p=1", BUNDLE), (9, f"{SITE}/?p=1", dated)]
+    frame = spark.createDataFrame(rows, "n long, url string, html string")
+    found = collect_records(frame, RULES, order="n").records.collect()
+    assert len(found) == 2 and {str(r.date_reported) for r in found} == {"2026-03-01"}
+    assert {str(r.date_reported) for r in collect_records(frame, RULES).records.collect()} == {"2026-02-26"}
+
+
 def test_extraction_is_not_repeated_in_a_filter(spark):
     frame = spark.read.schema("url string, html string").parquet(_stored(spark))
     for found in (P.pages_to_records(frame, RULES), P.paragraphs(frame), P.extract_links(frame),

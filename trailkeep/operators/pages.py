@@ -88,10 +88,10 @@ def record_units(bodies: DataFrame, rules: SiteRules | None = None, relevant: Co
     return _numbered(chosen, [*columns, (F.size("__units") > 1).alias("multiple")], "__units", "unit_no", "unit")
 
 
-def pages_to_records(pages: DataFrame, rules: SiteRules) -> DataFrame:
-    """Candidate project records, without ids. Sector, amount and status come from the unit alone."""
+def pages_to_records(pages: DataFrame, rules: SiteRules, keep: Sequence[str] = ()) -> DataFrame:
+    """Candidate project records, without ids, and the page's ``keep``. Sector, amount and status come from the unit alone."""
     about = C.is_relevant(F.col("title"), F.col("body_text"), rules.topic, rules.action_terms)
-    units = record_units(with_body(pages.select("url", "html"), rules.site_name), rules, about)
+    units = record_units(with_body(pages.select("url", "html", *keep), rules.site_name), rules, about)
     unit, title = F.col("unit"), F.col("title")
     evidence = clean_space(F.concat(title, F.lit(". "), unit))
     place = F.coalesce(C.classify_regex(unit, rules.places), C.classify_regex(evidence, rules.places))
@@ -106,8 +106,8 @@ def pages_to_records(pages: DataFrame, rules: SiteRules) -> DataFrame:
         F.col("date").alias("date_reported"),
         X.make_description(unit).alias("description"),
         F.col("url").alias("source_url"),
-        "unit_no",
-    ).select(*PROJECT_COLUMNS, "unit_no")
+        "unit_no", *keep,
+    ).select(*PROJECT_COLUMNS, "unit_no", *keep)
 
 
 # --- links ------------------------------------------------------------------------------------

@@ -34,35 +34,40 @@ class Collection(NamedTuple):
     rejects: DataFrame
 
 
-def finalize_records(candidates: DataFrame, id_format: str) -> DataFrame:
-    """Clean text, one row per (source, name, description), sorted, numbered."""
+def finalize_records(candidates: DataFrame, id_format: str, order: Sequence[str] = ()) -> DataFrame:
+    """Clean text, one row per (source, name, description), sorted, numbered.
+
+    Units of two saved copies of a page may tie: the copy first in ``order`` gives the row, then the other columns decide.
+    """
     tidy = candidates.withColumns({c: clean_space(F.col(c)) for c in text_columns(candidates)})
     key = ["source_url", "project_name", "description"]
-    # Units of two saved copies of a page may tie: their other columns then decide which comes first.
-    others = [c for c in tidy.columns if c not in key and c != "unit_no"]
-    unique = dedup_keep_first(tidy, key, ["unit_no", *others], derived=True)
+    others = [c for c in tidy.columns if c not in key and c != "unit_no" and c not in order]
+    unique = dedup_keep_first(tidy, key, ["unit_no", *order, *others], derived=True)
     # The description settles the order of records that agree in date, source and name.
-    order = [*RECORD_ORDER, "description"]
-    return assign_ids(unique.drop("unit_no"), order, id_format, "project_id").select(*PROJECT_COLUMNS)
+    place = [*RECORD_ORDER, "description"]
+    return assign_ids(unique.drop("unit_no", *order), place, id_format, "project_id").select(*PROJECT_COLUMNS)
 
 
-def admit_pages(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True) -> tuple[DataFrame, DataFrame]:
+def admit_pages(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True,
+                keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(usable pages, rejects): pages outside the site or without content go aside with the reason."""
     checks = [RowRule("no page content", F.coalesce(F.trim("html"), F.lit("")) == "")]
     if limit_to_site:
         on_site = F.coalesce(same_site(F.col("url"), F.lit(rules.base_url)), F.lit(False))
         checks.insert(0, RowRule("outside the site", ~on_site))
-    good, rejects = quarantine(pages.select("url", "html"), checks)
+    good, rejects = quarantine(pages.select("url", "html", *keep), checks)
     return good, rejects.select(F.col("url").alias("source_url"), "error")
 
 
-def collect_records(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True) -> Collection:
+def collect_records(pages: DataFrame, rules: SiteRules, limit_to_site: bool = True, order: str | None = None) -> Collection:
     """Project records, the evidence table, and the pages that could not be used with the reason.
 
-    ``pages`` holds one row per (url, html).
+    ``pages`` holds one row per (url, html). Where copies of a page give the same record with other details, such as
+    another date, the copy first by the column ``order`` counts (without it the smaller details).
     """
-    good, rejects = admit_pages(pages, rules, limit_to_site)
-    records = finalize_records(P.pages_to_records(good, rules), f"{rules.id_prefix}%03d")
+    seq = [order] if order else []
+    good, rejects = admit_pages(pages, rules, limit_to_site, seq)
+    records = finalize_records(P.pages_to_records(good, rules, seq), f"{rules.id_prefix}%03d", seq)
     return Collection(records, P.pages_to_posts(good, rules.site_name), rejects)
 
 
