@@ -16,6 +16,7 @@ from trailkeep.operators import pages as P
 from trailkeep.operators.joins import filter_admitted
 from trailkeep.plans.collect import PROFILE_SCHEMA
 from trailkeep.rules import PROFILE_COLUMNS, STOPWORDS, SiteRules, census_templates
+from trailkeep.session import spread
 
 # --- predicates ---------------------------------------------------------------------------------
 
@@ -321,7 +322,8 @@ def fact_pages(spark, sf):
     text = F.concat(
         F.when(seg.isin("MACHINERY", "BUILDING"), census).otherwise(""), F.when(seg.isin("BUILDING", "AUTOMOBILE"), projected).otherwise(""),
         F.when(seg.isin("BUILDING", "MACHINERY"), later).otherwise(""), F.when(seg != "AUTOMOBILE", area).otherwise("Sina and Kalo."))
-    return table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("https://facts.example.org/"), "c_custkey").alias("url"), text.alias("text"))
+    customer = spread(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"))
+    return customer.select("c_custkey", F.concat(F.lit("https://facts.example.org/"), "c_custkey").alias("url"), text.alias("text"))
 
 
 FACTS_SQL = """

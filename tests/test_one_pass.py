@@ -3,6 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from trailkeep.plans import clean as L
 from trailkeep.operators.dedup import duplicate_counts
 from trailkeep.operators.joins import filter_admitted
 from trailkeep.operators.quality import differing_rows, frames_equal
@@ -117,3 +118,34 @@ def test_gates_and_counts_cost_no_job_of_their_own(spark):
             raise AssertionError
 
     assert jobs_of(spark, "gated", gated) == plain
+
+
+def counted(frame, column):
+    """``frame`` with its ``column`` counted each time a row of it is computed, and the counter."""
+    seen = frame.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def passed(value):
+        seen.add(1)
+        return value
+
+    return frame.withColumn(column, passed.asNondeterministic()(column)), seen
+
+
+def test_a_small_file_is_dealt_to_all_cores(spark, tmp_path):
+    from contract.extraction import fact_pages
+
+    rows = [(i, "BUILDING") for i in range(500)]
+    spark.createDataFrame(rows, "c_custkey long, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    parts = fact_pages(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 8
+
+
+def test_pages_of_a_profile_are_stripped_once(spark):
+    from trailkeep.plans.collect import collect_profile
+    from trailkeep.rules import census_templates
+
+    text = "It would rise to approximately 98,533 by 2018. Nalo is near."
+    frame, seen = counted(spark.createDataFrame([(i, f"https://t/{i}", text) for i in range(20)], "page_id long, url string, html string"), "html")
+    found = collect_profile(frame, census_templates("Lenda"), "Lenda", "Novia", ["Kalo"], {"Nalo": {"level": "ward"}, "near": {"level": "ward"}})
+    assert found.count() == 60 and seen.value == 20

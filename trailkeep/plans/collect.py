@@ -18,6 +18,7 @@ from trailkeep.operators.joins import apply_review
 from trailkeep.operators.order import assign_ids, assign_missing_ids, union_records
 from trailkeep.operators.quality import RowRule, quarantine
 from trailkeep.rules import CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, FactTemplate, SiteRules
+from trailkeep.session import written
 
 CONTACT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CONTACT_COLUMNS])
 PROFILE_SCHEMA = T.StructType([
@@ -111,12 +112,15 @@ def collect_profile(pages: DataFrame, templates: Sequence[FactTemplate], unit: s
                     neighbours: Sequence[str], mentions: dict[str, dict[str, str]] | None = None,
                     last_note: str | None = None, last_source: str | None = None, order: str = "page_id",
                     id_prefix: str = "REC-") -> DataFrame:
-    """Profile rows of pages (url, html, order): template facts, then constant rows for named units."""
-    texts = pages.select(F.col(order).alias("__seq"), "url", strip_html(F.col("html"), "district").alias("text"))
+    """Profile rows of pages (url, html, order): template facts, then constant rows for named units.
+
+    Texts and rows are staged: each part reads the texts, and the range sort behind the ids reads the rows twice.
+    """
+    texts = written(pages.select(F.col(order).alias("__seq"), "url", strip_html(F.col("html"), "district").alias("text")))
     facts = P.extract_facts(texts, templates, unit, country, neighbours, last_note, last_source, keep=["__seq"])
     parts = [facts.withColumn("__kind", F.lit(0)).withColumnRenamed("template", "__part")]
     schema = T.StructType([*PROFILE_SCHEMA.fields, texts.schema["__seq"]])
     for i, (term, constants) in enumerate((mentions or {}).items(), start=1):
         rows = P.emit_if_mentioned(texts, term, constants, schema, keep=["__seq"])
         parts.append(rows.withColumns({"__kind": F.lit(i), "__part": F.lit(0)}))
-    return assign_ids(union_records(*parts), ["__kind", "__seq", "__part"], f"{id_prefix}%03d").select(*PROFILE_COLUMNS)
+    return assign_ids(written(union_records(*parts)), ["__kind", "__seq", "__part"], f"{id_prefix}%03d").select(*PROFILE_COLUMNS)

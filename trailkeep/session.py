@@ -40,6 +40,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to all cores: a small file is read by one task, which would then do all dear work on its rows."""
+    return df.repartition(max(32, 4 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, partition by partition in its row order."""
     shared_folder(df.sparkSession)
