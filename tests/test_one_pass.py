@@ -149,3 +149,17 @@ def test_pages_of_a_profile_are_stripped_once(spark):
     frame, seen = counted(spark.createDataFrame([(i, f"https://t/{i}", text) for i in range(20)], "page_id long, url string, html string"), "html")
     found = collect_profile(frame, census_templates("Lenda"), "Lenda", "Novia", ["Kalo"], {"Nalo": {"level": "ward"}, "near": {"level": "ward"}})
     assert found.count() == 60 and seen.value == 20
+
+
+def profile_rows(spark):
+    from trailkeep.rules import PROFILE_COLUMNS
+
+    base = dict(record_id="D-1", level="District", name="Lenda", population="10", population_year="2010", notes="n", source_url="https://t/x")
+    rows = [{**base, "record_id": f"D-{i}", "name": f"Lenda {i % 10}"} for i in range(20)]
+    return counted(spark.createDataFrame([tuple(r.get(c) for c in PROFILE_COLUMNS) for r in rows], ", ".join(f"{c} string" for c in PROFILE_COLUMNS)), "notes")
+
+
+def test_rows_of_a_strict_profile_are_computed_once(spark):
+    frame, seen = profile_rows(spark)
+    found = L.clean_profile(frame)
+    assert found.clean.count() == 10 and found.details["duplicates_removed"] == 10 and seen.value == 20

@@ -141,11 +141,11 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
     within a level. ``lax`` keeps the first row of an observation, reports fences over the whole
     table and adds ``notes_clean``.
     """
-    before = df.count()
     observation = ["name", "level", "population_year"]
+    rows = {"rows": F.count(F.lit(1))}
     if mode == "lax":
-        unique, seen = gathered_write(
-            dedup_keep_first(df, observation, "record_id"), {"rows": F.count(F.lit(1)), **missing_figures(df)})
+        before = df.count()
+        unique, seen = gathered_write(dedup_keep_first(df, observation, "record_id"), {**rows, **missing_figures(df)})
         measures = ["population", "area_km2"]
         numeric = unique.withColumns({m: V.to_number(F.col(m)) for m in measures})
         fences = iqr_fences(numeric, measures)
@@ -157,7 +157,8 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
         return Cleaned(clean, details, fences=fences, flagged=flagged, id_col="record_id")
     if mode != "strict":
         raise ValueError(f"unknown mode: {mode}")
-    tidy = cols.standardize_categories(cols.normalize_text(df), ["level"])
+    # Staged, as the removal of copies reads the rows twice.
+    tidy, first = gathered_write(cols.standardize_categories(cols.normalize_text(df), ["level"]), rows)
     typed, raws = dedup_except_id(tidy, "record_id"), {}
     for c in PROFILE_COUNTS:
         typed, raws[c] = cols.to_number_checked(typed, c, "double")
@@ -180,7 +181,7 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
     clean = staged.withColumns({c: F.col(c).cast("bigint") for c in PROFILE_COUNTS}).select(*df.columns)
     fences = written(iqr_fences(clean, list(PROFILE_MEASURES), ["level"]))
     gate_outliers(clean, list(PROFILE_MEASURES), "record_id", ["level"], fences)
-    return Cleaned(clean, {**_sizes(before, figures["__rows"]), "outliers": 0}, fences=fences, id_col="record_id", outliers=0)
+    return Cleaned(clean, {**_sizes(first["rows"], figures["__rows"]), "outliers": 0}, fences=fences, id_col="record_id", outliers=0)
 
 
 def publish(tables: dict[str, Cleaned]) -> dict[str, bool]:
