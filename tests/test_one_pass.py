@@ -163,3 +163,9 @@ def test_rows_of_a_strict_profile_are_computed_once(spark):
     frame, seen = profile_rows(spark)
     found = L.clean_profile(frame)
     assert found.clean.count() == 10 and found.details["duplicates_removed"] == 10 and seen.value == 20
+
+
+def test_rows_of_a_lax_profile_are_computed_once(spark):
+    frame, seen = profile_rows(spark)
+    found = L.clean_profile(frame, "lax")
+    assert found.clean.count() == 10 and found.details["duplicates_removed"] == 10 and seen.value == 20

@@ -144,8 +144,8 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
     observation = ["name", "level", "population_year"]
     rows = {"rows": F.count(F.lit(1))}
     if mode == "lax":
-        before = df.count()
-        unique, seen = gathered_write(dedup_keep_first(df, observation, "record_id"), {**rows, **missing_figures(df)})
+        read, first = gathered_write(df, rows)
+        unique, seen = gathered_write(dedup_keep_first(read, observation, "record_id"), {**rows, **missing_figures(df)})
         measures = ["population", "area_km2"]
         numeric = unique.withColumns({m: V.to_number(F.col(m)) for m in measures})
         fences = iqr_fences(numeric, measures)
@@ -153,7 +153,7 @@ def clean_profile(df: DataFrame, mode: str = "strict", stopwords: Sequence[str]
         clean = numeric.withColumn("notes_clean", clean_text_punct(F.col("notes"), stopwords))
         clean = cols.standardize_categories(clean, ["status", "sector", "level"])
         gaps = {f"missing {c}": seen[f"__missing {c}"] for c in df.columns if seen[f"__missing {c}"]}
-        details = {**_sizes(before, seen["rows"]), "outliers": flagged.count(), **gaps}
+        details = {**_sizes(first["rows"], seen["rows"]), "outliers": flagged.count(), **gaps}
         return Cleaned(clean, details, fences=fences, flagged=flagged, id_col="record_id")
     if mode != "strict":
         raise ValueError(f"unknown mode: {mode}")
