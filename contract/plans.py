@@ -24,6 +24,7 @@ from trailkeep.rules import (
     ACTION_TERMS, BOILERPLATE_PHRASES, CONTACT_COLUMNS, PROFILE_COLUMNS, PROJECT_COLUMNS, SECTOR_TERMS,
     STATUS_DENIED, STATUS_DONE, STATUS_PLANNED, STATUS_RUNNING, SiteRules, census_templates, place_rules,
 )
+from trailkeep.session import spread
 
 # --- announcements rendered into the page table ---------------------------------------------------
 
@@ -162,7 +163,8 @@ def project_table(spark, sf):
     sector = F.lit(None).cast("string")
     for k, v in SECTORS.items():
         sector = F.when(kind == k, v).otherwise(sector)
-    base = table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    base = spread(orders).select(
         F.col("o_orderkey").alias("project_id"), F.concat(F.lit("Project "), "o_custkey").alias("project_name"), sector.alias("sector"),
         F.when(state == "F", " Completed\t").when(state == "O", "ONGOING").alias("status"),
         F.when(kind != "5-LOW", F.round("o_totalprice", 2).cast("string")).alias("funding_amount_zmw"),

@@ -169,3 +169,23 @@ def test_rows_of_a_lax_profile_are_computed_once(spark):
     frame, seen = profile_rows(spark)
     found = L.clean_profile(frame, "lax")
     assert found.clean.count() == 10 and found.details["duplicates_removed"] == 10 and seen.value == 20
+
+
+def test_projects_of_a_small_file_are_dealt_to_all_cores(spark, tmp_path):
+    from contract.plans import project_table
+
+    orders = spark.range(500).selectExpr("id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "'5-LOW' AS o_orderpriority",
+                                         "1.5D AS o_totalprice", "TIMESTAMP'2024-01-01' AS o_orderdate")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    parts = project_table(spark, str(tmp_path)).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 8
+
+
+def test_first_places_by_number_are_found_without_sorting(spark, monkeypatch):
+    from trailkeep.operators import dedup as D
+
+    plans = []
+    monkeypatch.setattr(D, "checkpointed", lambda df: plans.append(plan_of(df)) or df)
+    frame = spark.range(100).selectExpr("CASE WHEN id <> 7 THEN id END AS id", "CAST(id % 10 AS string) AS a", "'x' AS b")
+    assert sorted(r.id for r in D.dedup_except_id(frame, "id").collect() if r.id is not None) == [0, 1, 2, 3, 4, 5, 6, 8, 9]
+    assert D.dedup_except_id(frame, "id").count() == 10 and not any("SortAggregate" in p for p in plans)

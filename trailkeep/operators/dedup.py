@@ -36,13 +36,15 @@ def _keep_first_narrow(df: DataFrame, keys: list[str], order: list[str]) -> Data
     """
     marks = group_keys(df, keys)
     names = [f"__k{i}" for i in range(len(marks))]
-    marked = df.select("*", *[m.alias(n) for m, n in zip(marks, names)], F.struct(*order).alias("__place"))
+    # A number is compared as it is: the smallest of structs is found by sorting. A missing one is the first place.
+    number = len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.NumericType)
+    marked = df.select("*", *[m.alias(n) for m, n in zip(marks, names)], (F.col(order[0]) if number else F.struct(*order)).alias("__place"))
     places = marked.select(*names, "__place").groupBy(*names, "__place").agg(F.count(F.lit(1)).alias("__n"))
-    firsts = places.groupBy(*names).agg(
-        F.min(F.struct("__place", "__n")).alias("__m"), F.sum("__n").alias("__rows")
-    ).filter("__rows > 1")
-    repeated = checkpointed(firsts.select(*names, F.col("__m.__place").alias("__first"), F.col("__m.__n").alias("__ties")))
-    found = lookup_join(marked, repeated, names).filter(F.col("__first").isNull() | F.col("__place").eqNullSafe(F.col("__first")))
+    missing = F.max(F.when(F.col("__place").isNull(), F.col("__n")))
+    first = F.when(missing.isNull(), F.min("__place")).alias("__first")
+    ties = F.coalesce(missing, F.min_by("__n", "__place")).alias("__ties")
+    repeated = checkpointed(places.groupBy(*names).agg(first, ties, F.sum("__n").alias("__rows")).filter("__rows > 1").drop("__rows"))
+    found = lookup_join(marked, repeated, names).filter(F.col("__ties").isNull() | F.col("__place").eqNullSafe(F.col("__first")))
     if repeated.filter("__ties > 1").isEmpty():
         return found.select(*df.columns)
     tied = found.filter("__ties > 1").groupBy(*names).agg(F.first(F.struct(*df.columns)).alias("__row")).select("__row.*")
