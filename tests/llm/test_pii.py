@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from trailkeep.llm import pii
 
@@ -88,3 +89,16 @@ def test_nothing_is_learned_from_one_sided_or_empty_samples(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(["", None, "no data here"])], "doc_id long, text string")
     assert pii.train(rows) is None and pii.train(rows.limit(0)) is None
     assert [r.spans for r in pii.find(rows, None).collect()] == ["", "", ""]
+
+
+def test_every_document_is_learned_from(spark):
+    """The only right phones are in one document in a thousand: a sample of the documents would hold hardly any."""
+    rng = random.Random(3)
+    known, alike = [f"+1 {national(rng)}" for _ in range(40)], [f"10:{some(rng, 2)}:{some(rng, 2)}:{some(rng, 2)}" for _ in range(40)]
+    rare = [(i, text_of(rng, part)) for i, part in enumerate(known + alike)]
+    many = spark.range(1000, 41_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("an empty harbour "), "id").alias("text"))
+    few = spark.createDataFrame(rare, "doc_id long, text string")
+    alone = pii.train(few)
+    for tasks in (pii.TASK_ROWS, 5):
+        assert set(pii.train(few.unionByName(many), tasks).thresholds) == set(alone.thresholds) == {"phone"}
+    assert pii.train(few.unionByName(many)).trees == alone.trees

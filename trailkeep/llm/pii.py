@@ -40,9 +40,8 @@ WIDE = {
     "phone": r"(?<![0-9A-Za-z+.-])(?:(?:\+|00)[0-9]{1,3}[\x20./-])?+\(?[0-9]{2,4}+\)?(?:[\x20./-]\(?[0-9]{2,4}+\)?){2,4}+(?![0-9])",
     "secret": rf"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z]){_RUN}{{16,}}+={{0,2}}+(?![A-Za-z0-9@])",
 }
-#: About so many documents' candidates are learned from, half of them kept for calibration, and at most about so many
-#: different rows of features.
-SAMPLE_DOCS, SAMPLE_ROWS = 20_000, 200_000
+#: The trees are fitted by one task for each so many different rows of features.
+TASK_ROWS = 200_000
 #: Of a kind's held-out candidates at or over its threshold at least this share must be right, and at least so many.
 PRECISION, LEAST_RIGHT = 0.98, 5
 TREES, DEPTH = 12, 3
@@ -184,28 +183,26 @@ def _tree(node) -> object:
     return node.split().featureIndex(), float(node.split().threshold()), _tree(node.leftChild()), _tree(node.rightChild())
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_rows: int = SAMPLE_ROWS) -> Scorer | None:
-    """The scorer learned from the candidates of about ``sample_docs`` documents, chosen by a hash of their id and text.
+def train(docs: DataFrame, task_rows: int = TASK_ROWS) -> Scorer | None:
+    """The scorer learned from the candidates of all documents, about four in seven of them fitted and the rest held out.
 
-    Equal rows of features are one weighted row; of more than ``sample_rows`` different ones about so many are drawn. The
-    halves are told apart by the text, so copies stay together. Nothing is learned (None) from a sample without right or
-    without wrong candidates; a kind with fewer than ``LEAST_RIGHT`` right ones held out gets no threshold and adds nothing.
+    Equal rows of features are one weighted row, so what is fitted grows with the different rows only; they are spread by
+    their features over as many tasks as ``task_rows`` asks. The parts are told apart by the text, so copies stay
+    together. Nothing is learned (None) from documents without right or without wrong candidates; a kind with fewer
+    than ``LEAST_RIGHT`` right ones held out gets no threshold and adds nothing.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    share = min(1.0, sample_docs / max(1, docs.count()))
-    draw = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    # Staged, as a filter beside the generator of candidates would be asked after them.
-    chosen = staged(docs.select("doc_id", "text").where(F.pmod(draw, F.lit(1 << 20)) < share * (1 << 20)))
-    each = _with_candidates(_with_base(chosen)).select((F.pmod(F.xxhash64("text"), F.lit(7)) < 3).alias("held"), F.explode("more").alias("m"))
-    rows = staged(each.groupBy("held", "m.features", F.col("m.right").cast("double").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("n")))
+    # The plain generator would add a filter on its array, which the optimizer pushes through the search for candidates.
+    each = _with_candidates(_with_base(docs)).select((F.pmod(F.xxhash64("text"), F.lit(7)) < 3).alias("held"), F.explode_outer("more").alias("m"))
+    rows = staged(each.where("m IS NOT NULL").groupBy("held", "m.features", F.col("m.right").cast("double").alias("label")).agg(F.count(F.lit(1)).cast("double").alias("n")))
     sizes = {(r.held, r.label): r["count"] for r in rows.groupBy("held", "label").count().collect()}
     if not all(sizes.get((False, label)) for label in (0.0, 1.0)):
         return None
-    kept = min(1.0, sample_rows / sum(n for (held, _), n in sizes.items() if not held))
-    shown = rows.where(~F.col("held") & (F.pmod(F.xxhash64("features"), F.lit(1 << 20)) < kept * (1 << 20)))
-    ordered = shown.coalesce(1).sortWithinPartitions("features", "label")
+    tasks = -(-sum(n for (held, _), n in sizes.items() if not held) // task_rows)
+    shown = rows.where(~F.col("held")).drop("held")
+    ordered = (shown.coalesce(1) if tasks == 1 else shown.repartition(tasks, "features")).sortWithinPartitions("features", "label")
     learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=9, maxBins=32, weightCol="n")
     java = learner.fit(ordered.select(array_to_vector("features").alias("features"), "label", "n"))._java_obj
     trees = [(float(w), _tree(t.rootNode())) for w, t in zip(java.treeWeights(), java.trees())]
